@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 #: Words are maximal runs of characters outside U+0020 and U+0009..U+000D.
 GAP = r"[\x20\x09-\x0D]+"
-GAPS = "[\\x20\\x09-\\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +50,7 @@ def running_totals(values: Column, block: int = 256) -> Column:
         return F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
 
     def of(a: Column) -> Column:
-        n_blocks = F.expr("0") + F.floor((F.size(a) - 1) / block).cast("int")
+        n_blocks = F.floor((F.size(a) - 1) / block).cast("int")
         sums = F.transform(F.sequence(F.lit(0), n_blocks), lambda b: total(F.slice(a, b * block + 1, F.lit(block))))
         before = let(sums, lambda s: F.transform(s, lambda _, k: total(F.slice(s, F.lit(1), k))))
         return let(before, lambda base: F.transform(a, lambda _, i: let(F.floor(i / block).cast("int"), lambda b: F.element_at(base, b + 1) + total(F.slice(a, b * block + 1, i - b * block + 1)))))
