@@ -18,7 +18,7 @@ from .common import let, table, whole_words
 
 BUCKETS = 1 << 14
 #: Mark from which a document is kept.
-LEAST = -0.35
+LEAST = -0.04
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 
@@ -31,17 +31,21 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 
     def marked(w: Column) -> Column:
         one = lambda i: F.struct(F.xxhash64(*(F.element_at(w, i + k) for k in range(width))).alias("h"), i.alias("i"))
-        return F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), one))
+        return F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), one)
 
     def twice(s: Column) -> Column:
         equal = lambda x, k: (F.coalesce(F.try_element_at(s, k + 2)["h"] == x["h"], F.lit(False))) | ((k > 0) & (F.element_at(s, F.greatest(k, F.lit(1)))["h"] == x["h"]))
-        return F.array_sort(F.transform(F.filter(s, equal), lambda x: x["i"]))
+        return F.sort_array(F.transform(F.filter(s, equal), lambda x: x["i"]))
 
     def covered(at: Column) -> Column:
         steps = F.transform(at, lambda i, k: F.when(k + 1 < F.size(at), F.least(F.coalesce(F.try_element_at(at, k + 2), i) - i, F.lit(width))).otherwise(width))
         return F.aggregate(steps, F.lit(0), lambda acc, x: acc + x)
 
-    return F.when(F.size(words) < width + 1, 0).otherwise(let(let(let(words, marked), twice), covered))
+    def found(m: Column) -> Column:
+        alone = F.size(F.array_distinct(F.transform(m, lambda x: x["h"]))) == F.size(m)
+        return F.when(alone, 0).otherwise(let(let(F.sort_array(m), twice), covered))
+
+    return F.when(F.size(words) < width + 1, 0).otherwise(let(let(words, marked), found))
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -68,19 +72,21 @@ def base_failed() -> Column:
     return (F.col("q_n") < 50) | (100 * F.col("q_repeat").cast("long") > 50 * F.col("q_n").cast("long"))
 
 
-def trusted() -> Column:
-    """The stated rule for target text: passes the base rule, no symbols, few repeated lines, words of usual length."""
-    return ~base_failed() & (F.col("q_symbols") == 0) & (F.col("q_repeat") * 10 < F.col("q_n")) & (F.col("q_dup_lines") <= 1) & (F.col("q_chars") < 8 * F.col("q_n"))
+def trusted(words: Column, text: Column) -> Column:
+    """The stated rule for target text: 50 words or more of usual length, no symbols, and not a few words over and over."""
+    n = F.size(words)
+    return (n >= 50) & (F.length(text) < 9 * n) & ~text.rlike(f"[{SYMBOLS}]") & (F.size(F.array_distinct(words)) > F.least(0.3 * n, F.lit(150)))
 
 
-def gram_ratios(counted: DataFrame, buckets: int = BUCKETS) -> list[float]:
+def gram_ratios(docs: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(P(target) / P(raw)) of each bucket: buckets numbers, however large the corpus."""
-    seen = counted.select(trusted().alias("good"), F.explode(grams(F.col("q_words"), buckets)).alias("b"))
+    seen = docs.select("text", whole_words(F.col("text")).alias("q_words"))
+    seen = seen.select(F.coalesce(trusted(F.col("q_words"), F.col("text")), F.lit(False)).alias("good"), grams(F.col("q_words"), buckets).alias("g"))
+    seen = seen.select("good", F.explode("g").alias("b"))
     seen = seen.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("good").alias("target"))
     rows = F.broadcast(seen)  # at most `buckets` rows
-    all_buckets = counted.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(rows, "b", "left").na.fill(0)
-    totals = all_buckets.agg(F.array_sort(F.collect_list(F.struct("b", "raw", "target"))).alias("all"))  # one row of `buckets` entries
-    sums = totals.select("all", F.aggregate("all", F.lit(0).cast("double"), lambda acc, x: acc + x["raw"]).alias("raw"), F.aggregate("all", F.lit(0).cast("double"), lambda acc, x: acc + x["target"]).alias("target"))
+    all_buckets = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(rows, "b", "left").na.fill(0)
+    sums = all_buckets.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "target"))).alias("all"), F.sum("raw").alias("raw"), F.sum("target").alias("target"))  # one row of `buckets` entries
     ratio = lambda x: F.log((x["target"] + 1) / (F.col("target") + buckets)) - F.log((x["raw"] + 1) / (F.col("raw") + buckets))
     return sums.select(F.transform("all", ratio)).first()[0]
 
@@ -88,8 +94,8 @@ def gram_ratios(counted: DataFrame, buckets: int = BUCKETS) -> list[float]:
 def assess(docs: DataFrame, buckets: int = BUCKETS, least: float = LEAST) -> DataFrame:
     """doc_id, the base counts, mark and kept of every row."""
     counted = counts(docs)
-    ratios = gram_ratios(counted, buckets)
-    table_of = F.array(*map(F.lit, ratios))  # a constant of `buckets` numbers
+    ratios = gram_ratios(docs, buckets)
+    table_of = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # a constant of `buckets` numbers
     total = F.aggregate(grams(F.col("q_words"), buckets), F.lit(0.0), lambda acc, b: acc + F.element_at(table_of, b + 1))
     mark = F.when(F.col("q_n") == 0, 0.0).otherwise(total / (2 * F.col("q_n") - 1))
     return counted.withColumn("mark", F.round(mark, 9)).select(
