@@ -63,9 +63,13 @@ def counts(docs: DataFrame) -> DataFrame:
 
 def grams(words: Column, buckets: int) -> Column:
     """Buckets of the words and of the pairs of adjacent words (0-based)."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.pmod(F.xxhash64(F.element_at(words, i), F.element_at(words, i + 1)), F.lit(buckets)).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.concat(single, pairs)
+
+    def of(w: Column) -> Column:
+        single = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
+        pair = lambda i: F.pmod(F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1)), F.lit(buckets)).cast("int")
+        return F.when(F.size(w) < 2, single).otherwise(F.concat(single, F.transform(F.sequence(F.lit(1), F.size(w) - 1), pair)))
+
+    return let(words, of)
 
 
 def base_failed() -> Column:
@@ -82,7 +86,8 @@ def gram_ratios(docs: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(P(target) / P(raw)) of each bucket: buckets numbers, however large the corpus."""
     seen = docs.select("text", whole_words(F.col("text")).alias("q_words"))
     seen = seen.select(F.coalesce(trusted(F.col("q_words"), F.col("text")), F.lit(False)).alias("good"), grams(F.col("q_words"), buckets).alias("g"))
-    seen = seen.select("good", F.explode("g").alias("b"))
+    # outer: a plain explode would have its size tested before the words are cut, which cuts them twice
+    seen = seen.select("good", F.explode_outer("g").alias("b")).where("b is not null")
     seen = seen.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("good").alias("target"))
     rows = F.broadcast(seen)  # at most `buckets` rows
     all_buckets = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(rows, "b", "left").na.fill(0)
