@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .pii import op2_pii
 from .quality_rank import op1_quality_rank
 from .quality_rules import op6_quality_rules
+from .secrets import op10_secrets
 from .simhash import op4_simhash
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op4_simhash, op6_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op4_simhash, op6_quality_rules, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
