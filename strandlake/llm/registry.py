@@ -11,6 +11,7 @@ from .quality_rank import op1_quality_rank
 from .quality_rules import op6_quality_rules
 from .secrets import op10_secrets
 from .simhash import op4_simhash
+from .substrings import op9_substrings
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op4_simhash, op6_quality_rules, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op4_simhash, op6_quality_rules, op9_substrings, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
