@@ -1,8 +1,53 @@
-"""A corpus pipeline: quality, near-duplicates, benchmark leaks, secrets, then token ids."""
+"""A corpus pipeline over documents: quality, near-duplicates, benchmark leaks, secrets, then token ids.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before has kept, which it finds written as Parquet.
+All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandlake.llm import decontaminate, pieces, quality_rank, secrets, simhash
+from strandlake.llm.common import staged, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranking rejects go."""
+    return quality_rank.keep_good(docs, quality_rank.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: runs of five words, 4 of 64 bits."""
+    return simhash.keep_first(docs, width=5)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a test item in them go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; every document stays."""
+    return secrets.redact(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the ids of the text."""
+    return pieces.encode_documents(docs, pieces.read_model(), keep=("lang", "source")).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("benchmark_leaks", benchmark_leaks), ("mask_secrets", mask_secrets), ("token_ids", token_ids)]
+
+#: Fingerprints, rankings and token ids are beyond SQL; the tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = staged(docs, name)
+    return docs

@@ -153,9 +153,10 @@ def _transducer(model: bytes) -> Transducer:
     return _READY[key]
 
 
-def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id and ids (array<int>) of every row. The model, some 500 KB, goes along with the tasks."""
+def encode_documents(docs: DataFrame, model: bytes, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to keep and ids (array<int>) of every row. The model, some 500 KB, goes along with the tasks."""
     kept = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", *keep]
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _transducer(kept.value)
@@ -165,9 +166,10 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
                 found = [t.encode(x) for x in texts.slice(at, 256).to_pylist()]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, 256), ids], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, 256) for c in names), ids], [*names, "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
+    return docs.select(*names, "text").mapInArrow(encode, f"{kinds}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, model: bytes) -> DataFrame:

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op7_decontaminate
+from .html_text import op3_html_text
+from .pieces import op8_pieces
 from .pii import op2_pii
 from .quality_rank import op1_quality_rank
 from .quality_rules import op6_quality_rules
+from .quotes import op5_quotes
 from .secrets import op10_secrets
 from .simhash import op4_simhash
 from .substrings import op9_substrings
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op4_simhash, op6_quality_rules, op9_substrings, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op3_html_text, op4_simhash, op5_quotes, op6_quality_rules, op7_decontaminate, op8_pieces, op9_substrings, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
