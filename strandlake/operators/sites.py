@@ -55,7 +55,7 @@ def to_genomic(sites: DataFrame, exons: DataFrame) -> DataFrame:
     rank = F.when(F.col("strand") == "-", -F.col("e_start")).otherwise(F.col("e_start"))
     along = Window.partitionBy("transcript_id").orderBy(rank, "e_end")
     size = F.col("e_end") - F.col("e_start") + 1
-    laid = exons.select("transcript_id", "chr", "strand", "e_start", "e_end", F.sum(size).over(along).alias("off_end"), F.row_number().over(along).alias("exon_rank"))
+    laid = exons.select("transcript_id", "chr", "strand", "e_start", "e_end", F.sum(size).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("off_end"), F.row_number().over(along).alias("exon_rank"))
     laid = laid.withColumn("off_start", F.col("off_end") - size)
     hit = sites.join(laid, "transcript_id").where((F.col("t_start") < F.col("off_end")) & (F.col("off_start") < F.col("t_end")))
     a, b = F.greatest("t_start", "off_start") - F.col("off_start"), F.least("t_end", "off_end") - F.col("off_start")
