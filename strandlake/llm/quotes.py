@@ -54,7 +54,8 @@ def passages(lines: Column) -> Column:
 
         return let(begins(a), piece)
 
-    return let(lines, joined)
+    none = F.array().cast("array<struct<level:int,body:string>>")
+    return let(lines, lambda a: F.when(F.size(a) == 0, none).otherwise(joined(a)))
 
 
 def _keys(of: Column) -> Column:

@@ -114,6 +114,8 @@ _BACK_DDL = "part int, hashes binary, ids binary, starts binary"
 
 def _dealt(key: np.ndarray, columns: list[np.ndarray | None], rest: list[tuple[str, int]], name: str, schema: pa.Schema) -> pa.Table:
     """A row for each value of key, with its share of each column as bytes, in the order that they have."""
+    if not len(key):
+        return schema.empty_table()
     order = np.argsort(key, kind="stable")
     values, at = np.unique(key[order], return_index=True)
     ends = [*at[1:].tolist(), len(key)]
