@@ -1,0 +1,47 @@
+"""The pipeline's stages, each held against what the one before has kept."""
+
+import corpus_pipeline
+from strandlake.llm import decontaminate, quality_rank, simhash
+from strandlake.llm.common import staged, table
+
+from .test_text_operators import base_secrets, plain_fingerprint
+
+D = "/root/testdata/sf0.001"
+
+
+def test_stages_on_the_smallest_tables(spark):
+    docs = table(spark, D, "documents")
+    names, at = docs.columns, {r.doc_id: r for r in docs.collect()}
+    seen = {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = staged(stage(spark, docs, D), name)
+        assert k == 4 or docs.columns == names
+        seen[name] = {r.doc_id: r for r in docs.collect()}
+        assert len(seen[name]) == docs.count()
+
+    model = quality_rank.train(table(spark, D, "documents"), table(spark, D, "labels"))
+    score = {r.doc_id: r.score for r in quality_rank.score_documents(table(spark, D, "documents"), model).collect()}
+    assert seen["quality"].keys() == {i for i, s in score.items() if s >= quality_rank.CUT}
+
+    fps = sorted((i, plain_fingerprint(r.text, 5)) for i, r in seen["quality"].items())
+    group = {i: i for i, _ in fps}
+    for i, a in fps:
+        for j, b in fps:
+            if j < i and (a ^ b).bit_count() <= simhash.RADIUS and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = {x: low if g == high else g for x, g in group.items()}
+    assert seen["near_duplicates"].keys() == set(group.values())
+
+    index = decontaminate.Index([tuple(r) for r in table(spark, D, "benchmark").select("item_id", "text").collect()])
+    leaks = {i for i, r in seen["near_duplicates"].items() if index.search(r.text)}
+    assert seen["benchmark_leaks"].keys() == seen["near_duplicates"].keys() - leaks
+
+    assert seen["mask_secrets"].keys() == seen["benchmark_leaks"].keys()
+    for i, r in seen["mask_secrets"].items():
+        assert not base_secrets(r.text) and ("[SECRET]" in r.text) >= bool(base_secrets(at[i].text)) and r.n_chars == len(r.text)
+    assert seen["token_ids"].keys() == seen["mask_secrets"].keys() and all(len(r.ids) == r.n_tokens for r in seen["token_ids"].values())
+
+
+def test_run_is_the_stages(spark):
+    got = corpus_pipeline.run(spark, D)
+    assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and got.count() > 100
