@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandlake.sources.scratch import new_path
+
 #: Words are maximal runs of characters outside U+0020 and U+0009..U+000D.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -17,18 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="strandlake-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
