@@ -35,7 +35,7 @@ SPACE = "▁"
 #: The default vocabulary; a parameter everywhere.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Paths and arcs that a process keeps.
-KEPT = 400_000
+KEPT = 800_000
 
 
 class Transducer:
@@ -55,11 +55,16 @@ class Transducer:
         self.piece = {p.piece: i for i, p in enumerate(spec.pieces) if p.type in (kind.NORMAL, kind.USER_DEFINED)}
         self.score = {s: spec.pieces[i].score for s, i in self.piece.items()}
         self.longest = max(map(len, self.piece))
+        #: For the last two characters of a span: the longest piece that ends in them.
+        self.reach: dict[str, int] = {}
+        for p in self.piece:
+            self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
         self.raw = {i: bytes([b]) for b, i in self.bytes.items()}
         alone = not any(re.search(f"[^{SPACE}]{SPACE}|\n", s) and len(s) > 1 for s in self.piece)
         self.word = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n") if alone else re.compile("(?s).+")
         self.stable: dict[tuple[str, str], bool] = {}
         self.paths: dict[str, tuple[int, ...]] = {}
+        self.states: dict[str, str] = {}
 
     def merged(self, s: str) -> list[str]:
         """What merging the characters of a short string by rank gives: the reference for stable pairs."""
@@ -86,15 +91,26 @@ class Transducer:
         return tuple(self.bytes.get(b, self.unknown) for b in s.encode()) if self.bytes else (self.unknown,)
 
     def _bpe_path(self, s: str) -> list[str]:
-        last: list[str] = [""] * (len(s) + 1)  # the state at each position: the last piece on its path
-        piece = self.piece
+        piece, stable, reach, states = self.piece, self.stable, self.reach, self.states
+        if len(states) > KEPT:
+            states.clear()
+        last = [""]  # the state at each position: the last piece on its path
         for end in range(1, len(s) + 1):
-            # one state only is reached, so the order of trial doesn't matter; long pieces are the likeliest
-            for start in range(max(0, end - self.longest), end):
+            # a state depends on what has been read only, so words share those of their common beginnings
+            state = states.get(s[:end])
+            if state is not None:
+                last.append(state)
+                continue
+            # one state only is reached, so the order of trial doesn't matter; no piece with these last characters is longer
+            for start in range(max(0, end - reach.get(s[max(0, end - 2) : end], 1)), end):
                 arc = s[start:end]
-                if (arc in piece or end - start == 1) and self._is_stable(last[start], arc):
-                    last[end] = arc
-                    break
+                if arc in piece or end - start == 1:
+                    before = last[start]
+                    found = stable.get((before, arc))
+                    if self._is_stable(before, arc) if found is None else found:
+                        states[s[:end]] = arc
+                        last.append(arc)
+                        break
         path, at = [], len(s)
         while at:
             path.append(last[at])
