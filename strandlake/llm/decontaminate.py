@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_slices, table
 
 UNIT, SHARD, BLOCK = 64, 20_000, 8
 LENGTH, STRIDE = 128, 64
@@ -157,7 +157,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     def found_in(kept):  # noqa: ANN001
         def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = kept.value
-            for batch in it:
+            for batch in in_slices(it):
                 ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
                 rows = [(k, *x) for k, t in enumerate(texts) for x in index.search(t, threshold, verify)]
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
@@ -176,7 +176,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how: float) -> Da
         kept = spark.sparkContext.broadcast(Index(shard))
 
         def clean(it: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            for batch in it:
+            for batch in in_slices(it):
                 yield batch.filter(pa.array([not kept.value.search(t, **how) for t in batch.column("text").to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_slices, table
 
 #: Frequent function words of the languages in view.
 STOP_WORDS = frozenset(
@@ -204,7 +204,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row."""
 
     def extract(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_slices(it):
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array([main_text(h) for h in batch.column("html").to_pylist()], pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()

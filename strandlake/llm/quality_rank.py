@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_slices, table
 
 #: predicted is 1 from this score on.
 CUT = 0.7
@@ -97,7 +97,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = 200_000, ridge: float = 1.
 
 
 def _rows(it: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    for batch in it:
+    for batch in in_slices(it):
         x = np.array([features(t) for t in batch.column("text").to_pylist()], np.float64).reshape(-1, len(FEATURES))
         yield batch.select(keep), x
 

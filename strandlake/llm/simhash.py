@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import in_slices, staged, table
 
 RADIUS = 4
 WIDTH = 4
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of every row."""
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+        for batch in in_slices(it):
             fps = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
 
