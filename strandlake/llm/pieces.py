@@ -35,7 +35,7 @@ SPACE = "▁"
 #: The default vocabulary; a parameter everywhere.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Paths and arcs that a process keeps.
-KEPT = 800_000
+KEPT = 500_000
 
 
 class Transducer:
@@ -53,6 +53,7 @@ class Transducer:
         self.unknown = next(i for i, p in enumerate(spec.pieces) if p.type == kind.UNKNOWN)
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(spec.pieces) if p.type == kind.BYTE}
         self.piece = {p.piece: i for i, p in enumerate(spec.pieces) if p.type in (kind.NORMAL, kind.USER_DEFINED)}
+        self.same = {s: s for s in self.piece}
         self.score = {s: spec.pieces[i].score for s, i in self.piece.items()}
         self.longest = max(map(len, self.piece))
         #: For the last two characters of a span: the longest piece that ends in them.
@@ -91,7 +92,7 @@ class Transducer:
         return tuple(self.bytes.get(b, self.unknown) for b in s.encode()) if self.bytes else (self.unknown,)
 
     def _bpe_path(self, s: str) -> list[str]:
-        piece, stable, reach, states = self.piece, self.stable, self.reach, self.states
+        piece, same, stable, reach, states = self.piece, self.same, self.stable, self.reach, self.states
         if len(states) > KEPT:
             states.clear()
         last = [""]  # the state at each position: the last piece on its path
@@ -108,6 +109,7 @@ class Transducer:
                     before = last[start]
                     found = stable.get((before, arc))
                     if self._is_stable(before, arc) if found is None else found:
+                        arc = same.get(arc, arc)  # one object for each piece
                         states[s[:end]] = arc
                         last.append(arc)
                         break
