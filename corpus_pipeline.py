@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import decontaminate, pieces, quality_rank, secrets, simhash
+from strandlake.llm import decontaminate, pieces, quality_rank, secrets, shingles
 from strandlake.llm.common import staged, table
 
 
@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: runs of five words, 4 of 64 bits."""
-    return simhash.keep_first(docs, width=5)
+    """One document of each group stays: sets of five-word runs with a similarity of 0.8 or more, each link measured."""
+    return shingles.keep_first(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
