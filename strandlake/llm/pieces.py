@@ -36,6 +36,8 @@ SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Paths and arcs that a process keeps.
 KEPT = 500_000
+#: Characters of the longest word whose path and states are kept: so at most SHORT * KEPT characters of either.
+SHORT = 64
 
 
 class Transducer:
@@ -95,10 +97,11 @@ class Transducer:
         piece, same, stable, reach, states = self.piece, self.same, self.stable, self.reach, self.states
         if len(states) > KEPT:
             states.clear()
+        shared = len(s) <= SHORT  # the beginnings of a long word would take the square of its length
         last = [""]  # the state at each position: the last piece on its path
         for end in range(1, len(s) + 1):
             # a state depends on what has been read only, so words share those of their common beginnings
-            state = states.get(s[:end])
+            state = states.get(s[:end]) if shared else None
             if state is not None:
                 last.append(state)
                 continue
@@ -110,7 +113,8 @@ class Transducer:
                     found = stable.get((before, arc))
                     if self._is_stable(before, arc) if found is None else found:
                         arc = same.get(arc, arc)  # one object for each piece
-                        states[s[:end]] = arc
+                        if shared:
+                            states[s[:end]] = arc
                         last.append(arc)
                         break
         path, at = [], len(s)
@@ -148,9 +152,11 @@ class Transducer:
         if len(paths) + len(missing) > KEPT and len(paths):
             paths.clear()
             missing = set(words)
+        once = {}  # the paths of long words go with their text
         for w in missing:
-            paths[w] = self.path(w)
-        return np.fromiter(chain.from_iterable(map(paths.__getitem__, words)), np.int32)
+            (paths if len(w) <= SHORT else once)[w] = self.path(w)
+        found = map((lambda w: once[w] if w in once else paths[w]) if once else paths.__getitem__, words)
+        return np.fromiter(chain.from_iterable(found), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         raw, text = self.raw, self.text
