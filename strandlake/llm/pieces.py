@@ -20,6 +20,7 @@ the empty text; repeated rows give repeated results; an empty table gives an emp
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -62,7 +63,8 @@ class Transducer:
         self.reach: dict[str, int] = {}
         for p in self.piece:
             self.reach[p[-2:]] = max(len(p), self.reach.get(p[-2:], 1))
-        self.raw = {i: bytes([b]) for b, i in self.bytes.items()}
+        raw = {i: bytes([b]) for b, i in self.bytes.items()}
+        self.written = [raw[i] if i in raw else x.encode() for i, x in enumerate(self.text)]
         alone = not any(re.search(f"[^{SPACE}]{SPACE}|\n", s) and len(s) > 1 for s in self.piece)
         self.word = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n") if alone else re.compile("(?s).+")
         self.stable: dict[tuple[str, str], bool] = {}
@@ -159,8 +161,7 @@ class Transducer:
         return np.fromiter(chain.from_iterable(found), np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        raw, text = self.raw, self.text
-        joined = b"".join(raw[i] if i in raw else text[i].encode() for i in ids).decode("utf-8", "replace")
+        joined = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace")
         joined = joined.removeprefix(self.prefix) if self.prefix else joined
         return joined.replace(SPACE, " ")
 
@@ -193,7 +194,7 @@ def encode_documents(docs: DataFrame, model: bytes, keep: tuple[str, ...] = ())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, 256) for c in names), ids], [*names, "ids"])
 
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
-    return docs.select(*names, "text").mapInArrow(encode, f"{kinds}, ids array<int>")
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(encode, f"{kinds}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -213,6 +214,25 @@ def read_model(path: str = MODEL) -> bytes:
         return f.read()
 
 
+def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
+    """doc_id, ids, the SHA-256 of the text that the ids decode to, and whether that is the text itself (null as empty,
+    U+2581 as the space that the normaliser can't tell it from) of every row."""
+    kept = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _transducer(kept.value)
+        for batch in it:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [t.decode(x.values.tolist()) for x in part.column("ids")]
+                digests = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string())
+                same = pa.array([x == (y or "").replace(SPACE, " ") for x, y in zip(texts, part.column("text").to_pylist(), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), digests, same], ["doc_id", "ids", "decoded_sha256", "round_trips"])
+
+    encoded = encode_documents(docs, model, keep=("text",))
+    return encoded.mapInArrow(decode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded_sha256 string, round_trips boolean")
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_documents(table(spark, sf_dir, "documents"), read_model())
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    found = round_trips(table(spark, sf_dir, "documents"), read_model())
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256", "round_trips")

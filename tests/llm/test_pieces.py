@@ -1,10 +1,14 @@
 """Piece transducer: long words and decoding."""
 
+import hashlib
 import random
 
 import pytest
 
 from strandlake.llm import pieces
+from strandlake.llm.common import table
+
+from .test_text_operators import docs_of, odd_texts
 
 
 @pytest.mark.parametrize("letters", ["ACGT", "中文字符的和是不了人", "ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/"])
@@ -15,3 +19,16 @@ def test_long_words_leave_nothing_behind(letters):
     assert t.encode(text).tolist() == sp.encode(text)
     assert sum(map(len, t.states)) + sum(map(len, t.paths)) < 1000
     assert max(map(len, [*t.states, *t.paths])) <= pieces.SHORT
+
+
+def test_query_decodes_every_row(spark):
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in table(spark, d, "documents").collect()}
+    found = pieces.op8_pieces(spark, d).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r.round_trips and r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_odd_texts_come_back(spark):
+    assert all(r.round_trips for r in pieces.round_trips(docs_of(spark, odd_texts()), pieces.read_model()).collect())
