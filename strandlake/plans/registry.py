@@ -484,6 +484,22 @@ def off_target_summary(spark, d):
     return offtargets.off_target_summary(_near(spark, d), 2)
 
 
+def _near_all(spark, d):
+    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 14, TILE)
+    return offtargets.near_off_targets(_pre(spark, d, 14), windows, v.gene(spark, d), 14, 2)
+
+
+# every site against every window: too many pairs for DuckDB's hamming join, so tests hold these against brute force
+@query(None)
+def all_near_off_targets(spark, d):
+    return _near_all(spark, d)
+
+
+@query(None)
+def all_off_target_summary(spark, d):
+    return offtargets.off_target_summary(_near_all(spark, d), 2)
+
+
 def _loci(spark, d):
     """Places along the chromosomes, from orders."""
     o = v._table(spark, d, "orders")
