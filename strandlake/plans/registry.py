@@ -489,7 +489,7 @@ def _near_all(spark, d):
     return offtargets.near_off_targets(_pre(spark, d, 14), windows, v.gene(spark, d), 14, 2)
 
 
-# every site against every window: too many pairs for DuckDB's hamming join, so tests hold these against brute force
+# every site against every window, without SQL: a test holds a sample of the sites against brute force
 @query(None)
 def all_near_off_targets(spark, d):
     return _near_all(spark, d)
