@@ -335,8 +335,9 @@ def test_blocks_without_semantic_elements():
     assert html_text.main_text(html) == " ".join(f"Title {good} Yes. {good}".split())
     for odd in (None, "", "<", "<<<>>>", "<p", "a<b", "<!-- x", "<script>x", "&am", "</p></div>"):
         html_text.main_text(odd)
-    assert html_text.second_pass([None, True, None, None, None, False, None], [False] * 7) == [True, True, True, True, False, False, False]
-    assert html_text.second_pass([None, None], [False] * 2) == [True, True]
+    inherit = lambda labels: html_text.second_pass([html_text.Block("x", 0, 0.0, 0, False, False, False)] * len(labels), [0.0] * len(labels), labels)
+    assert inherit([None, True, None, None, None, False, None]) == [True, True, True, True, False, False, False]
+    assert inherit([None, None]) == [True, True]
 
 
 def test_quotes(spark):
