@@ -32,6 +32,13 @@ def in_slices(it: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Reco
             yield batch.slice(at, rows)
 
 
+def keep_rows(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """The rows of docs that heads names by doc_id and h, the hash of the text; one of rows that are equal in both."""
+    at = "keep_rows_h"  # beside whatever columns docs has
+    hashed = docs.withColumn(at, F.xxhash64("text"))
+    return hashed.join(heads.select("doc_id", F.col("h").alias(at)).distinct(), ["doc_id", at], "left_semi").dropDuplicates(["doc_id", at]).select(*docs.columns)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once for a row."""
     return F.transform(F.array(value), body)[0]

@@ -1,46 +1,55 @@
-"""Near-duplicates by measured similarity: documents whose sets of five-word runs have a Jaccard similarity of 0.8 or more.
+"""Near-duplicates by SimHash candidates and measured similarity: documents whose sets of five-word runs have a Jaccard
+similarity of 0.8 or more.
 
 Words are as in simhash; a set holds the XXH64 hashes of all runs of `width` words (the whole sequence where there are
 fewer; none without words), and sets are compared by these. Documents with equal sets are one node (by a 64-bit hash of
 the set), so a group of copies of any size is one row.
 
-Candidates: BANDS keys of ROWS minima of the set under as many hash functions. Two sets of similarity s have equal
-minima with chance s, so a pair at 0.8 shares no key with a chance of (1 - 0.8^5)^32 = 3 in a million, and rarer above.
+Candidates: a pair at 0.8 has a fifth of its runs apart but few words, so the fingerprints are taken of the words: each
+distinct word votes on 64 bits with the root of its count. PRINTS fingerprints under as many hash functions go into the
+covering tables of simhash, which bring every pair together that differs in RADIUS or fewer bits of one fingerprint.
 
-Links: every candidate is measured on the two whole sets, and only pairs at or above the limit link. First each member
-of a bucket is measured against its least member; then, in buckets whose members aren't all connected yet, all pairs of
-unconnected members. Beyond CELL members that would be the square of a bucket: there sweeps measure all members against
-PIVOTS others at random, until a sweep finds no new link. So in buckets of over CELL members whose members are mostly
-unlike, a link may be missed if no other bucket holds it.
+Links: every candidate is measured on the two whole sets, and only pairs at or above the limit link. As components are
+wanted, not links, this goes in steps that leave out what is connected already: each node against the least node it
+meets; the members of a bucket against its least; then, in buckets whose members aren't all connected yet, all
+unconnected candidates of small buckets. Beyond CELL members sweeps measure all members against PIVOTS others at random
+while that finds links; what is left is measured block by block, each with at most about CELL members of a bucket
+against all others. So no candidate is left out, and no step lists the pairs of a group.
 
-Null and blank texts have the empty set and are alike. Rows without a doc_id stay.
+Null and blank texts have the empty set and are alike. Texts of any length are read whole. Rows without a doc_id stay.
+Of a component stays the row with the least (doc_id, hash of the text): rows that share a doc_id with unlike texts are
+judged apart, of rows with equal doc_id and text one stays. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices, staged
-from .simhash import _LOWER, components
+from .common import in_slices, keep_rows, staged
+from .simhash import _LOWER, RADIUS, components, covering_masks
 
 WIDTH, LIMIT = 5, 0.8
-BANDS, ROWS = 32, 5
-#: Members up to which all unconnected pairs of a bucket are measured, and those that a sweep measures all others against.
+PRINTS = 5
+#: Members up to which all unconnected candidates of a bucket are measured, and those that a sweep measures all others against.
 CELL, PIVOTS = 64, 8
-_BLOCK = 2048
-_SEEDS = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
-_ODD, _PLUS = _SEEDS[0] | np.uint64(1), _SEEDS[1]
+_BLOCK = 4096
+_SALTS = np.random.default_rng(42).integers(0, 1 << 64, PRINTS, np.uint64)
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_LOWER).split()
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """The sorted distinct hashes of a text's runs of words."""
-    words = (text or "").encode().translate(_LOWER).split()
+    words = _words(text)
     if not words:
         return np.zeros(0, np.uint64)
     line = b" ".join(words)
@@ -56,14 +65,26 @@ def node_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), 7)).view(np.int64))
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    """A key for each band; none for the empty set."""
-    if not len(found):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(found), _BLOCK):
-        least = np.minimum(least, (found[at : at + _BLOCK, None] * _ODD + _PLUS >> np.uint64(24)).min(axis=0))
-    return np.array([xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+def _mixed(h: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """Another hash of each hash."""
+    h = (h ^ salt) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def word_prints(text: str | None) -> np.ndarray:
+    """PRINTS fingerprints of a text's words; a bit is 1 if over half the weight votes for it."""
+    counts = Counter(_words(text))
+    base = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
+    weight = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
+    out = []
+    for salt in _SALTS:
+        votes = np.zeros(64, np.float64)
+        for at in range(0, len(base), _BLOCK):
+            bits = np.unpackbits(_mixed(base[at : at + _BLOCK], salt).view(np.uint8).reshape(-1, 8), axis=1)
+            votes += weight[at : at + _BLOCK] @ bits
+        out.append(np.packbits(2 * votes > weight.sum(dtype=np.float64)).view(np.uint64)[0])
+    return np.array(out, np.uint64)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -77,15 +98,17 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node, m (the size of the set) and keys of every row."""
+    """doc_id, h (the hash of the text), node, m (the size of the set) and prints of every row."""
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(it):
-            sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
-            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([band_keys(s) for s in sets])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "node", "m", "keys"])
+            texts = batch.column("text").to_pylist()
+            sets = [shingles(t, width) for t in texts]
+            columns = [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists([word_prints(t) for t in texts])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *columns], ["doc_id", "h", "node", "m", "prints"])
 
-    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, m int, keys array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(measure, f"doc_id {kind}, h long, node long, m int, prints array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -112,55 +135,84 @@ def _measured(pairs: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long")
 
 
-def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell: int = CELL) -> DataFrame:
-    """Links (a, b) between nodes (node, m, keys, first_id), all at or above the limit."""
-    rows = nodes.select("node", "m", F.explode("keys").alias("key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "m")).alias("head")).where("n > 1")
-    members = staged(rows.join(sizes, "key").select("key", "node", "m", "n", "head"), "shingle-buckets")
-    fits = lambda p, q: F.least(p, q) >= limit * F.greatest(p, q)
-    sets = staged(_sets(docs, nodes.join(members.select("node").distinct(), "node", "left_semi"), width), "shingle-sets")
+def _keys(prints: Column, radius: int) -> Column:
+    """The keys of a node in all tables of all fingerprints."""
+    one = lambda p, j: F.array(*(F.xxhash64(j, F.lit(t), p.bitwiseAND(F.lit(m))) for t, m in enumerate(covering_masks(radius))))
+    return F.flatten(F.transform(prints, one))
+
 
-    stars = members.where((F.col("node") != F.col("head.node")) & fits(F.col("m"), F.col("head.m"))).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-    found = staged(_measured(stars, sets, limit), "shingle-links")
+def buckets_of(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(key, node, n, head): the tables' buckets with two or more members, their size and least member."""
+    # sets of fewer than 4 runs are alike only if equal
+    rows = nodes.where("m >= 4").select("node", F.explode(_keys(F.col("prints"), radius)).alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1")
+    return rows.join(sizes, "key").select("key", "node", "n", "head")
+
+
+def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell: int = CELL, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) between nodes (node, m, prints, first_id), all at or above the limit, that connect what all candidates
+    at or above it connect."""
+    members = staged(buckets_of(nodes, radius), "shingle-buckets")
+    known = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "shingle-members")
+    sets = staged(_sets(docs, known, width), "shingle-sets")
+    traits = known.select("node", "m", "prints")
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose sizes allow the limit and of whose fingerprints one is within the radius."""
+        a, b = (traits.select(F.col("node").alias(x), F.col("m").alias(f"m_{x}"), F.col("prints").alias(f"p_{x}")) for x in "ab")
+        near = F.exists(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= radius), lambda x: x)
+        fits = F.least("m_a", "m_b") >= limit * F.greatest("m_a", "m_b")
+        return pairs.distinct().join(b, "b").join(a, "a").where(fits & near).select("a", "b")
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        return staged(_measured(staged(candidates(pairs), "shingle-pairs"), sets, limit), "shingle-links")
 
     def apart(links: DataFrame, which: DataFrame) -> DataFrame:
         """The members, with roots, of buckets that aren't connected yet."""
-        roots = components(links)
-        rooted = staged(which.select("key", "node", "m").join(roots, "node", "left").select("key", "node", "m", F.coalesce("root", "node").alias("root")), "shingle-roots")
-        return rooted.join(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
+        rooted = which.drop("root").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = staged(rooted, "shingle-roots")
+        return staged(rooted.join(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "key", "left_semi"), "shingle-apart")
 
     def crossing(p: DataFrame, q: DataFrame) -> DataFrame:
-        q = q.select("key", F.col("node").alias("node2"), F.col("m").alias("m2"), F.col("root").alias("root2"))
-        pairs = p.join(q, "key").where((F.col("root") != F.col("root2")) & fits(F.col("m"), F.col("m2")))
-        return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-
-    small = apart(found, members.where(F.col("n").between(3, cell)))
-    found = found.unionByName(staged(_measured(crossing(small, small).join(stars, ["a", "b"], "left_anti"), sets, limit), "shingle-links"))
-    large, sweep = members.where(F.col("n") > cell), 0
+        q = q.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
+        return p.join(q, "key").where(F.col("root") != F.col("root2")).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+
+    star = members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    found = measured(star.groupBy("b").agg(F.min("a").alias("a")))
+    left = apart(found, members)
+    found = found.unionByName(measured(left.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))))
+    left = apart(found, left.where("n > 2"))
+    small = left.where(F.col("n") <= cell)
+    found = found.unionByName(measured(crossing(small, small)))
+
+    large, sweep = left.where(F.col("n") > cell), 0
     while not large.isEmpty():
-        large = staged(apart(found, large), "shingle-apart")
-        pivots = large.groupBy("key").agg(*(F.min_by(F.struct("node", "m", "root"), F.xxhash64("node", F.lit(sweep * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)))
+        large = apart(found, large)
+        pivots = large.groupBy("key").agg(*(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(sweep * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)))
         pivots = pivots.select("key", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS))))).alias("p")).select("key", "p.*")
-        new = staged(_measured(crossing(large, pivots), sets, limit), "shingle-links")
+        new = measured(crossing(large, pivots))
         if new.isEmpty():
             break
         found, sweep = found.unionByName(new), sweep + 1
+    block = 0
+    while not large.isEmpty():
+        turn = large.where(F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / cell)) == block)
+        found = found.unionByName(measured(crossing(large, turn)))
+        block += 1
+        large = apart(found, large.where(F.ceil(F.col("n") / cell) > block))
     return found
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, limit: float = LIMIT, cell: int = CELL) -> DataFrame:
-    """doc_id and component_id (the least doc_id reachable over links) of every row; doc_id is not null."""
+    """doc_id, h (the hash of the text) and root (the same for all of a component) of every row; doc_id is not null."""
     marked = staged(_marked(docs, width), "shingle-marks")
-    nodes = staged(marked.groupBy("node").agg(F.first("m").alias("m"), F.first("keys").alias("keys"), F.min("doc_id").alias("first_id")), "shingle-nodes")
-    roots = components(links_of(docs, nodes, width, limit, cell))
-    member = nodes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
-    heads = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    final = staged(member.join(heads, "root").select("node", "component_id"), "shingle-components")
-    return marked.join(final, "node").select("doc_id", "component_id")
+    nodes = staged(marked.groupBy("node").agg(F.first("m").alias("m"), F.first("prints").alias("prints"), F.min("doc_id").alias("first_id")), "shingle-nodes")
+    roots = staged(components(links_of(docs, nodes, width, limit, cell)), "shingle-components")
+    return marked.join(roots, "node", "left").select("doc_id", "h", F.coalesce("root", "node").alias("root"))
 
 
 def keep_first(docs: DataFrame, **how: float) -> DataFrame:
-    """One document of each component, the one with the least id (one row of it), with all its columns."""
+    """One document of each component, that with the least (doc_id, hash of the text), with all its columns."""
     known = docs.where("doc_id is not null")
-    heads = near_duplicates(known, **how).where("doc_id = component_id").select("doc_id").distinct()
-    return known.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    heads = near_duplicates(known, **how).groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("row")).select("row.*")
+    return keep_rows(known, heads).unionByName(docs.where("doc_id is null")).select(*docs.columns)

@@ -15,7 +15,7 @@ yet go through midpoints: two members differ in at most radius cleared bits, so
 common value; every member names all values within radius / 2 flips, and each value links those who name it to the
 least of them. That is linear in the bucket, exact, and never lists all pairs of a group.
 
-Null text counts as empty. Rows that share a doc_id are one node in the graph, each with its own fingerprint; a null
+Null text counts as empty; texts of any length are read whole. Rows that share a doc_id are one node in the graph, each with its own fingerprint; a null
 doc_id stands alone in the output with its fingerprint, and takes the component of that fingerprint. An empty table
 gives an empty result. Other columns are ignored.
 """
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, staged, table
+from .common import in_slices, keep_rows, staged, table
 
 RADIUS = 4
 WIDTH = 4
@@ -164,13 +164,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH, c
     return marked.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, **how: int) -> DataFrame:
-    """One document of each component, the one with the least id (one row of it), with all its columns.
+def keep_first(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH, cell: int = CELL) -> DataFrame:
+    """One document of each group that links join, that with the least (doc_id, hash of the text), with all its columns.
 
-    Rows without a doc_id can't be named as copies of anything; they stay."""
+    Rows that share a doc_id are judged by their own fingerprints. Rows without one can't be named; they stay."""
     known = docs.where("doc_id is not null")
-    heads = near_duplicates(known, **how).where("doc_id = component_id").select("doc_id").distinct()
-    return known.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    marked = staged(fingerprints(known.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"))), width), "simhash")
+    roots = components(near_links(staged(marked.select("fp").distinct(), "simhash-values"), radius, cell))
+    grouped = marked.join(roots, marked.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    return keep_rows(known, grouped.agg(F.min("doc_id").alias("row")).select("row.*")).unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
