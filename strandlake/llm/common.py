@@ -25,11 +25,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_slices(it: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The batches in slices: Python then holds the objects of few texts at a time."""
+def in_slices(it: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, or half as many as long as those have more bytes: Python then holds the objects
+    of few texts at a time."""
     for batch in it:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at = 0
+        while at < batch.num_rows:
+            n = min(rows, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > size:
+                n //= 2
+            yield batch.slice(at, n)
+            at += n
 
 
 def keep_rows(docs: DataFrame, heads: DataFrame) -> DataFrame:
