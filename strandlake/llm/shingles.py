@@ -39,6 +39,8 @@ WIDTH, LIMIT = 5, 0.8
 PRINTS = 5
 #: Members up to which all unconnected candidates of a bucket are measured, and those that a sweep measures all others against.
 CELL, PIVOTS = 64, 8
+#: Nodes that a task puts into the tables.
+SPREAD = 8192
 _BLOCK = 4096
 _SALTS = np.random.default_rng(42).integers(0, 1 << 64, PRINTS, np.uint64)
 
@@ -143,8 +145,9 @@ def _keys(prints: Column, radius: int) -> Column:
 
 def buckets_of(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(key, node, n, head): the tables' buckets with two or more members, their size and least member."""
-    # sets of fewer than 4 runs are alike only if equal
-    rows = nodes.where("m >= 4").select("node", F.explode(_keys(F.col("prints"), radius)).alias("key"))
+    # sets of fewer than 4 runs are alike only if equal; every node becomes PRINTS * 31 rows, so tasks begin with few nodes
+    few = nodes.where("m >= 4").select("node", "prints")
+    rows = few.repartition(max(1, few.count() // SPREAD)).select("node", F.explode(_keys(F.col("prints"), radius)).alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1")
     return rows.join(sizes, "key").select("key", "node", "n", "head")
 
@@ -168,10 +171,11 @@ def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell:
         return staged(_measured(staged(candidates(pairs), "shingle-pairs"), sets, limit), "shingle-links")
 
     def apart(links: DataFrame, which: DataFrame) -> DataFrame:
-        """The members, with roots, of buckets that aren't connected yet."""
-        rooted = which.drop("root").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        """The members of buckets that aren't connected yet, with the roots of their own and of the bucket's head."""
+        rooted = which.drop("root", "head_root").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
         rooted = staged(rooted, "shingle-roots")
-        return staged(rooted.join(rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "key", "left_semi"), "shingle-apart")
+        open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct("node", "root"))["root"].alias("head_root")).where("lo < hi")
+        return staged(rooted.join(open_.select("key", "head_root"), "key"), "shingle-apart")
 
     def crossing(p: DataFrame, q: DataFrame) -> DataFrame:
         q = q.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
@@ -180,7 +184,7 @@ def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell:
     star = members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     found = measured(star.groupBy("b").agg(F.min("a").alias("a")))
     left = apart(found, members)
-    found = found.unionByName(measured(left.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))))
+    found = found.unionByName(measured(left.where("root != head_root").select(F.col("head").alias("a"), F.col("node").alias("b"))))
     left = apart(found, left.where("n > 2"))
     small = left.where(F.col("n") <= cell)
     found = found.unionByName(measured(crossing(small, small)))
