@@ -1,21 +1,23 @@
-"""Substring dedup: Rabin-Karp hashes of every window of 20 words, counted over the corpus.
+"""Substring dedup: Rabin-Karp hashes of every window of 20 words, counted in Spark.
 
 Words get 64-bit hashes; a window's Rabin-Karp hash is the polynomial of its word hashes in BASE modulo 2^64. A word goes
 if some window over it has the same words as a window that starts earlier (smaller doc_id, or the same document and
 an earlier start); adjacent windows that go merge into maximal intervals. Windows are equal if their hashes are.
 
-The rows are dealt once to parts by a hash of the row, as many parts as keep each small, and three passes go over the
-parts; what passes between them is packed arrays, dealt to buckets by hash value:
-  1. each part names the least hash of 5 words inside each of its windows (a minimizer: equal windows have equal
-     ones, and about one place in eight is named); the buckets find those that several parts name;
+The rows are dealt once, by a hash of the row, to parts of about PART_BYTES of text, and three passes go over the parts.
+Between them Spark counts plain rows by hash, so what is sent grows with the text and not with the number of parts, and
+sorts spill:
+  1. each part names the least hash of 5 words inside each of its windows, each once (a minimizer: equal windows have
+     equal ones, and about one place in eight is named); Spark finds those that several parts name;
   2. each part sends its windows that hold such a minimizer, each distinct one once with its first place, so a passage
-     that stands in a third of all documents is one row per part; the buckets find the first place of each over all
-     parts and return the later ones;
-  3. each part removes words by what has come back and by repeats within the part.
-
-Null and empty texts have no words. A null doc_id counts as the last of all. Rows that share doc_id and start are the
-same place, so a repeated row removes nothing from its twin. An empty table gives an empty result. Other columns are
-ignored; doc_id is an integer.
+     that stands in a third of all documents is one row per part; Spark finds the first place of each over all parts and
+     tells the parts whose first place is a later one;
+  3. each part removes words by the windows told and by repeats within the part.
+
+Null and empty texts have no words; a text of any length is one row's work. A null doc_id counts as the last of all. Rows
+that share doc_id and start are the same place, so a repeated row removes nothing from its twin, and rows that share a
+doc_id but not the text are judged by their own windows. An empty table gives an empty result. Other columns are ignored,
+whatever their names; doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -31,8 +33,8 @@ from .common import table
 WINDOW = 20
 GRAM = 5
 BASE = 0x9E3779B97F4A7C15 | 1
-#: Parts for each partition that the scan has.
-PARTS = 4
+#: Text in a part: what a task holds at once, with some 15 times as much in words and hashes.
+PART_BYTES = 4 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -70,10 +72,11 @@ class Part:
     """The rows of a part by doc_id, their words one after another, and all their windows."""
 
     def __init__(self, rows: pa.Table, window: int):
-        ids = rows.column("doc_id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False)
+        given = rows.column("doc_id").combine_chunks()
+        ids = given.fill_null(_LAST).to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
         texts = rows.column("text").to_pylist()
-        self.ids, self.order = ids[order], order
+        self.ids, self.given = ids[order], given.take(pa.array(order))
         self.words = [(texts[k] or b"").split() for k in order]
         self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
         self.first = np.concatenate(([0], np.cumsum(self.sizes)))
@@ -106,106 +109,85 @@ class Part:
         return order[new], order[later]
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
-_BACK = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("starts", pa.binary())])
-_SENT_DDL = "bucket int, part int, hashes binary, ids binary, starts binary"
-_BACK_DDL = "part int, hashes binary, ids binary, starts binary"
+_ANCHORS = pa.schema([("h", pa.int64()), ("part", pa.int32())])
+_WINDOWS = pa.schema([("h", pa.int64()), ("part", pa.int32()), ("id", pa.int64()), ("start", pa.int32())])
 
 
-def _dealt(key: np.ndarray, columns: list[np.ndarray | None], rest: list[tuple[str, int]], name: str, schema: pa.Schema) -> pa.Table:
-    """A row for each value of key, with its share of each column as bytes, in the order that they have."""
-    if not len(key):
-        return schema.empty_table()
-    order = np.argsort(key, kind="stable")
-    values, at = np.unique(key[order], return_index=True)
-    ends = [*at[1:].tolist(), len(key)]
-    out = {name: values.astype(np.int32), **{k: np.full(len(values), v, np.int32) for k, v in rest}}
-    for field, column in zip(("hashes", "ids", "starts"), columns, strict=True):
-        own = None if column is None else column[order]
-        out[field] = [None if own is None else own[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=True)]
-    return pa.table(out, schema=schema)
+def _told(rows: pa.Table) -> np.ndarray:
+    return rows.column("h").to_numpy().view(np.uint64)
 
 
-def _unpacked(rows: pa.Table, field: str, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a packed field, and how many each row has."""
-    packed = [x or b"" for x in rows.column(field).to_pylist()]
-    return np.frombuffer(b"".join(packed), dtype), np.array([len(x) // np.dtype(dtype).itemsize for x in packed], np.int64)
+def parts_of(docs: DataFrame, size: int = PART_BYTES) -> int:
+    """How many parts the texts make."""
+    return max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // size))
 
 
-def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, removed (array of word intervals, end exclusive) and kept (the other words) of every row."""
-    n = max(1, PARTS * docs.select("text").rdd.getNumPartitions())
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), part.alias("part"))
-    bucket = lambda h: (h % np.uint64(n)).astype(np.int64)
-
-    def name_anchors(key: tuple, rows: pa.Table) -> pa.Table:
-        anchors = np.unique(Part(rows, window).anchor)
-        return _dealt(bucket(anchors), [anchors, None, None], [("part", key[0].as_py())], "bucket", _SENT)
-
-    def shared_anchors(sent: pa.Table) -> pa.Table:
-        h, sizes = _unpacked(sent, "hashes", np.uint64)
-        parts = np.repeat(sent.column("part").to_numpy(), sizes)
-        _, back, times = np.unique(h, return_inverse=True, return_counts=True)
-        found = times[back] > 1
-        return _dealt(parts[found], [h[found], None, None], [], "part", _BACK)
-
-    def send_windows(key: tuple, rows: pa.Table, shared: pa.Table) -> pa.Table:
-        if not rows.num_rows or not shared.num_rows:
-            return _SENT.empty_table()
+def anchors_of(dealt: DataFrame, window: int) -> DataFrame:
+    """(h, part): the minimizers of each part, each once."""
+
+    def name(key: tuple, rows: pa.Table) -> pa.Table:
+        found = np.unique(Part(rows, window).anchor)
+        return pa.table([found.view(np.int64), np.full(len(found), key[0].as_py(), np.int32)], schema=_ANCHORS)
+
+    return dealt.groupBy("part").applyInArrow(name, "h long, part int")
+
+
+def shared_anchors(named: DataFrame) -> DataFrame:
+    """Those of (h, part) that several parts name; each part names an h once, so no h has more rows than there are parts."""
+    same = Window.partitionBy("h")
+    return named.withColumn("lo", F.min("part").over(same)).withColumn("hi", F.max("part").over(same)).where("lo < hi").select("h", "part")
+
+
+def windows_of(dealt: DataFrame, shared: DataFrame, window: int) -> DataFrame:
+    """(h, part, id, start): each distinct window of a part that holds a shared minimizer, at its first place there."""
+
+    def send(key: tuple, rows: pa.Table, told: pa.Table) -> pa.Table:
+        if not rows.num_rows or not told.num_rows:
+            return _WINDOWS.empty_table()
         own = Part(rows, window)
         first, _ = own.firsts()
-        first = np.sort(first[np.isin(own.anchor[first], _unpacked(shared, "hashes", np.uint64)[0])])
-        h = own.hash[first]
-        return _dealt(bucket(h), [h, own.ids[own.doc[first]], own.start[first].astype(np.int32)], [("part", key[0].as_py())], "bucket", _SENT)
-
-    def later_windows(sent: pa.Table) -> pa.Table:
-        h, sizes = _unpacked(sent, "hashes", np.uint64)
-        ids, starts = _unpacked(sent, "ids", np.int64)[0], _unpacked(sent, "starts", np.int32)[0]
-        parts = np.repeat(sent.column("part").to_numpy(), sizes)
-        order = np.lexsort((starts, ids, h))
-        h, ids, starts, parts = h[order], ids[order], starts[order], parts[order]
-        head = np.maximum.accumulate(np.where(np.concatenate(([True], h[1:] != h[:-1])), np.arange(len(h)), 0))
-        found = np.flatnonzero((ids != ids[head]) | (starts != starts[head]))
-        found = found[np.lexsort((starts[found], ids[found]))]
-        return _dealt(parts[found], [None, ids[found], starts[found]], [], "part", _BACK)
+        first = first[np.isin(own.anchor[first], _told(told))]
+        columns = [own.hash[first].view(np.int64), np.full(len(first), key[0].as_py(), np.int32), own.ids[own.doc[first]], own.start[first].astype(np.int32)]
+        return pa.table(columns, schema=_WINDOWS)
+
+    return dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(send, "h long, part int, id long, start int")
+
 
+def later_windows(sent: DataFrame) -> DataFrame:
+    """(h, part) where the part's first place of a window isn't the first of all."""
+    place = F.struct("id", "start")
+    return sent.withColumn("first", F.min(place).over(Window.partitionBy("h"))).where(F.col("first") < place).select("h", "part")
+
+
+def repeated_passages(docs: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, n_words, removed (array of word intervals, end exclusive) and kept (the other words) of every row."""
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts_of(docs, part_bytes))).cast("int")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), part.alias("part")).repartition("part")
     result = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())])
 
-    def remove(rows: pa.Table, back: pa.Table) -> pa.Table:
+    def remove(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return result.empty_table()
         own = Part(rows, window)
         gone = np.zeros(int(own.first[-1]) + 1, np.int64)  # windows to remove, by their first word
         later = own.firsts()[1]
         gone[own.first[own.doc[later]] + own.start[later]] = 1
-        if back.num_rows:
-            ids, starts = _unpacked(back, "ids", np.int64)[0], _unpacked(back, "starts", np.int32)[0].astype(np.int64)
-            # rows that share a doc_id are the same places
-            low, high = np.searchsorted(own.ids, ids, "left"), np.searchsorted(own.ids, ids, "right")
-            for k in range(int((high - low).max(initial=0))):
-                here = (low + k < high) & (starts + window <= own.sizes[np.minimum(low + k, len(own.ids) - 1)])
-                gone[own.first[(low + k)[here]] + starts[here]] = 1
+        if told.num_rows:  # all places of a window that began elsewhere
+            later = np.flatnonzero(np.isin(own.hash, _told(told)))
+            gone[own.first[own.doc[later]] + own.start[later]] = 1
         total = np.concatenate((np.zeros(window, np.int64), np.cumsum(gone[:-1])))
         covered = total[window:] - total[:-window] > 0
-        out: list[tuple] = []
+        spans, kept = [], []
         for k, words in enumerate(own.words):
             mark = covered[own.first[k] : own.first[k + 1]]
-            if mark.any():
-                edges = np.flatnonzero(np.diff(np.concatenate(([False], mark, [False])).astype(np.int8)))
-                spans = [{"start": i, "end": j} for i, j in edges.reshape(-1, 2).tolist()]
-                words = [w for w, m in zip(words, mark.tolist(), strict=True) if not m]
-            else:
-                spans = []
-            out.append((None if own.ids[k] == _LAST else int(own.ids[k]), int(own.sizes[k]), spans, b" ".join(words).decode()))
-        return pa.table(dict(zip(result.names, map(list, zip(*out, strict=True)), strict=True)), schema=result)
-
-    dealt = rows.repartition(F.col("part"))
-    named = dealt.groupBy("part").applyInArrow(name_anchors, _SENT_DDL)
-    shared = named.groupBy("bucket").applyInArrow(shared_anchors, _BACK_DDL)
-    sent = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(send_windows, _SENT_DDL)
-    back = sent.groupBy("bucket").applyInArrow(later_windows, _BACK_DDL)
-    return dealt.groupBy("part").cogroup(back.groupBy("part")).applyInArrow(remove, "doc_id long, n_words long, removed array<struct<start:int,end:int>>, kept string")
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], mark, [False])).astype(np.int8))) if mark.any() else np.zeros(0, np.int64)
+            spans.append([{"start": i, "end": j} for i, j in edges.reshape(-1, 2).tolist()])
+            kept.append(b" ".join([w for w, m in zip(words, mark.tolist(), strict=True) if not m] if len(edges) else words).decode())
+        return pa.table([own.given, own.sizes, pa.array(spans, result.field("removed").type), kept], schema=result)
+
+    shared = shared_anchors(anchors_of(dealt, window))
+    told = later_windows(windows_of(dealt, shared, window))
+    return dealt.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(remove, "doc_id long, n_words long, removed array<struct<start:int,end:int>>, kept string")
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
