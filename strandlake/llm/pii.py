@@ -2,8 +2,12 @@
 
 pii_spans(text) is a plain Column expression, so it works on any frame and stays in the JVM. Every span has a kind, a
 start and an end (code points, end exclusive) and a score. The base kinds email, ip, card and phone always stay; iban
-(confirmed by mod 97) and account (13 to 15 digits that pass Luhn) are added where their score reaches LEAST, which
-for account takes a context word. Null and empty texts have no spans; repeated rows give repeated results.
+(as long as its country says, confirmed by mod 97) and account (13 to 15 digits that pass Luhn) are added where their
+score reaches LEAST, which for account takes a context word: a whole word within REACH characters on either side.
+
+Null and empty texts have no spans. Texts of any length are read whole; a span costs what its own length and REACH cost.
+Spans of several kinds over one place all stay; within a kind the leftmost wins. Repeated rows give repeated results, an
+empty table an empty one. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from .common import let, located, table
 KINDS = ("email", "ip", "card", "phone", "iban", "account")
 #: Score from which an added span is given.
 LEAST = 0.6
-#: Code points before a span that are searched for context words.
+#: Code points on either side of a span that are searched for context words.
 REACH = 48
 
 # Possessive quantifiers and looks behind only keep long runs from being tried at each of their characters: a match
@@ -28,16 +32,27 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _RUN = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){%s}(?![\x20-]?[0-9])"
 CARD, ACCOUNT = _RUN % "15,18", _RUN % "12,14"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
-
-#: Words that speak for a kind when they stand shortly before a span.
+#: The length of a bank account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL FK SD", 19: "MK SI", 20: "AT BA EE KZ XK LT LU MN", 21: "HR LV LI CH",
+    22: "BH BG CR GE DE IE ME RS GB VA", 23: "GI IQ IL TL AE SO OM", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "PT ST LY",
+    26: "IS TR", 27: "FR GR IT MC MR SM BI DJ", 28: "AL AZ BY CY DO GT HU LB PL SV NI", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:"
+    + "|".join(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
+    + ")(?![A-Za-z0-9])"
+)
+
+#: Words that speak for a kind when they stand near a span.
 CONTEXT = {
-    "email": "mail|contact|write|address",
+    "email": "e?-?mail|contact|write|address",
     "ip": "ip|host|server|address|login",
-    "card": "card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta",
+    "card": "cards?|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta",
     "phone": "phone|call|tel|mobile|fax|cell|whatsapp|telefon",
     "iban": "iban|bank|account|konto|compte|cuenta|transfer",
-    "account": "card|amex|account|credit|payment|bank",
+    "account": "cards?|amex|accounts?|credit|payment|bank",
 }
 #: Score before context; a context word adds BOOST.
 PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.75, "phone": 0.5, "iban": 0.75, "account": 0.4}
@@ -88,8 +103,9 @@ def pii_spans(text: Column) -> Column:
 
     def of(kind: str, here: Column, pattern: str, valid, least: float = 0.0) -> Column:
         def scored(s: Column) -> Column:
-            before = F.lower(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))))
-            score = F.lit(PRIOR[kind]) + F.when(before.rlike(CONTEXT[kind]), BOOST).otherwise(0.0)
+            before = F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH)))
+            near = F.lower(F.concat(before, F.lit(" | "), F.substring(text, s["end"] + 1, F.lit(REACH))))
+            score = F.lit(PRIOR[kind]) + F.when(near.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{CONTEXT[kind]})(?![\p{{L}}\p{{N}}])"), BOOST).otherwise(0.0)
             return F.struct(F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"))
 
         found = F.transform(F.filter(located(text, pattern), lambda s: valid(s["match"])), scored)
