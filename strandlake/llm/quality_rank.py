@@ -5,9 +5,13 @@ Bradley-Terry model has P(i beats j) = sigmoid(w.(x_i - x_j)), so w minimises th
 of preference pairs (a labelled good document beside a labelled bad one). A quantile of the training worths then gives
 the threshold; the published score is a sigmoid that is CUT there.
 
-Null text counts as empty; an empty text has a score like any other. Repeated rows give repeated results. Without
-labelled rows of both kinds every score is CUT (nothing is rejected for want of evidence). Columns besides id and text
-are ignored, whatever they are called.
+What is learned from is bounded, whatever the size of the corpus: `max_rows` labelled rows (20,000; those whose hashed
+doc_id is least) and `pairs` preference pairs drawn from them (200,000). Every document is scored.
+
+Null text counts as empty; an empty text has a score like any other, texts of any length are read whole. Repeated rows
+give repeated results; in training, rows that share an id are rows of their own within the bound. Equal scores are equal
+decisions. Without labelled rows of both kinds every score is CUT (nothing is rejected for want of evidence). An empty
+table gives an empty result. Columns besides id and text are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -26,7 +30,10 @@ from .common import in_slices, table
 
 #: predicted is 1 from this score on.
 CUT = 0.7
-FEATURES = ("log_words", "word_len", "short_words", "long_words", "distinct_words", "distinct_pairs", "echo", "upper", "digits", "symbols", "bangs", "bars", "stops", "commas", "line_len", "repeated_lines", "loud_lines", "log_symbols", "log_upper", "log_echo", "log_bars", "odd_length", "sparse_words")
+FEATURES = (
+    "log_words", "word_len", "short_words", "long_words", "distinct_words", "distinct_pairs", "echo", "upper", "digits", "symbols", "bangs", "bars",
+    "stops", "commas", "line_len", "repeated_lines", "loud_lines", "log_symbols", "log_upper", "log_echo", "log_bars", "odd_length", "sparse_words",
+)
 _UPPER, _DIGIT = np.arange(65, 91), np.arange(48, 58)
 _SYMBOLS = np.frombuffer(b"#*$%&<>^~_=\\{}", np.uint8)
 
@@ -63,21 +70,21 @@ class Ranking:
     scale: np.ndarray
     weights: np.ndarray
     threshold: float
-    slope: float
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         worth = self._worth(x)
-        return 1 / (1 + np.exp(-np.clip(self.slope * (worth - self.threshold) + math.log(CUT / (1 - CUT)), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(worth - self.threshold + math.log(CUT / (1 - CUT)), -30, 30)))
 
     def _worth(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights
 
 
 def fit(x: np.ndarray, good: np.ndarray, pairs: int = 200_000, ridge: float = 1.0, seed: int = 11) -> Ranking:
-    """Newton steps on the pairwise logistic loss; then the quantile threshold that agrees best with the labels."""
+    """Newton steps on the pairwise logistic loss of `pairs` drawn pairs; then the quantile threshold that agrees best with
+    the labels."""
     d = x.shape[1] if x.ndim == 2 else len(FEATURES)
     if len(x) == 0 or good.all() or not good.any():
-        return Ranking(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 1.0)
+        return Ranking(np.zeros(d), np.ones(d), np.zeros(d), 0.0)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.clip((x - mean) / scale, -8, 8)
     rng = np.random.default_rng(seed)
@@ -93,7 +100,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = 200_000, ridge: float = 1.
     worth = z @ w
     cuts = np.quantile(worth, np.linspace(0, 1, 401))
     right = [int(((worth >= c) == good).sum()) for c in cuts]
-    return Ranking(mean, scale, w, float(cuts[int(np.argmax(right))]), 1.0)
+    return Ranking(mean, scale, w, float(cuts[int(np.argmax(right))]))
 
 
 def _rows(it: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -110,16 +117,18 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Ranking:
     """Fit on at most max_rows labelled rows outside the held-out part, those whose hashed id is least."""
     chosen = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)  # at most max_rows rows of 12 bytes are broadcast
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("label", "text")
+    order = F.xxhash64("doc_id")
+    chosen = chosen.orderBy(order, "doc_id", "label").limit(max_rows)  # at most max_rows rows of 12 bytes are broadcast
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select(order.alias("h"), "label", "text")
     names = [f"f{i}" for i in range(len(FEATURES))]
 
     def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kept, x in _rows(it, ["label"]):
-            yield pa.RecordBatch.from_arrays([kept.column(0), *(pa.array(c) for c in x.T)], ["label", *names])
+        for kept, x in _rows(it, ["h", "label"]):
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), *(pa.array(c) for c in x.T)], ["h", "label", *names])
 
-    # the driver gets max_rows rows of numbers at most (repeated ids aside), never texts
-    got = rows.mapInArrow(measure, "label int, " + ", ".join(f"{c} double" for c in names)).orderBy("label", *names).toArrow()
+    # the driver gets max_rows rows of numbers at most, in one order however they were dealt, and never texts
+    measured = rows.mapInArrow(measure, "h long, label int, " + ", ".join(f"{c} double" for c in names))
+    got = measured.orderBy("h", "label", *names).limit(max_rows).toArrow()
     x = np.column_stack([got.column(c).to_numpy() for c in names]) if got.num_rows else np.zeros((0, len(names)))
     return fit(x, got.column("label").to_numpy() == 1)
 

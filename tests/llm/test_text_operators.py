@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -247,6 +248,31 @@ def test_ranking_learns_preferences(spark):
     assert {r.doc_id for r in quality_rank.keep_good(docs, model).collect()} >= set(range(1, 400, 2))
 
 
+def test_training_rows_are_bounded(spark):
+    """Rows that share a labelled id don't widen what the driver gets."""
+    docs = docs_of(spark, [(i % 4, f"text {i} " * (1 + i % 7)) for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    seen = []
+    whole, quality_rank.fit = quality_rank.fit, lambda x, good: seen.append(len(x)) or whole(x, good)
+    try:
+        quality_rank.train(docs, labels, max_rows=30)
+    finally:
+        quality_rank.fit = whole
+    assert seen == [30]
+
+
+def test_quality_query(spark):
+    d = "/root/testdata/sf0.001"
+    got = quality_rank.op1_quality_rank(spark, d).collect()
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    ids = [r.doc_id for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in got) == sorted(ids)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    held = [(r.predicted, label[r.doc_id]) for r in got if r.held_out and label.get(r.doc_id) is not None]
+    assert held and sum(p == q for p, q in held) >= 0.9 * len(held)
+
+
 def test_ranking_without_labels_rejects_nothing(spark):
     docs = docs_of(spark, odd_texts())
     model = quality_rank.train(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
