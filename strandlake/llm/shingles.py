@@ -12,9 +12,10 @@ covering tables of simhash, which bring every pair together that differs in RADI
 Links: every candidate is measured on the two whole sets, and only pairs at or above the limit link. As components are
 wanted, not links, this goes in steps that leave out what is connected already: each node against the least node it
 meets; the members of a bucket against its least; then, in buckets whose members aren't all connected yet, all
-unconnected candidates of small buckets. Beyond CELL members sweeps measure all members against PIVOTS others at random
-while that finds links; what is left is measured block by block, each with at most about CELL members of a bucket
-against all others. So no candidate is left out, and no step lists the pairs of a group.
+unconnected candidates of small buckets. Beyond CELL members only those outside a bucket's largest component are left to
+measure against the others. Where they are CELL or fewer that is done at once; otherwise sweeps measure all members
+against PIVOTS at random while that finds links, and what is left outside then goes block by block, about CELL at a time.
+So no candidate is left out, and no step lists the pairs of a group.
 
 Null and blank texts have the empty set and are alike. Texts of any length are read whole. Rows without a doc_id stay.
 Of a component stays the row with the least (doc_id, hash of the text): rows that share a doc_id with unlike texts are
@@ -189,21 +190,30 @@ def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell:
     small = left.where(F.col("n") <= cell)
     found = found.unionByName(measured(crossing(small, small)))
 
-    large, sweep = left.where(F.col("n") > cell), 0
-    while not large.isEmpty():
+    def outsiders(which: DataFrame) -> DataFrame:
+        """(key, node, root, n_out) of the members outside the largest component of their bucket: of two members that are
+        apart, one is outside."""
+        sizes = which.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n_root"))
+        most = sizes.groupBy("key").agg(F.max_by("root", F.struct("n_root", "root")).alias("major"), (F.sum("n_root") - F.max("n_root")).alias("n_out"))
+        return which.join(most, "key").where("root != major").select("key", "node", "root", "n_out")
+
+    large, sweep, found_any = left.where(F.col("n") > cell), 0, True
+    while found_any and not large.isEmpty():
         large = apart(found, large)
-        pivots = large.groupBy("key").agg(*(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(sweep * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)))
+        out = staged(outsiders(large), "shingle-outsiders")
+        few = out.where(F.col("n_out") <= cell).select("key", "node", "root")  # all that these buckets have left
+        many = large.join(out.where(F.col("n_out") > cell).select("key").distinct(), "key", "left_semi")
+        pivots = many.groupBy("key").agg(*(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(sweep * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)))
         pivots = pivots.select("key", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS))))).alias("p")).select("key", "p.*")
-        new = measured(crossing(large, pivots))
-        if new.isEmpty():
-            break
-        found, sweep = found.unionByName(new), sweep + 1
-    block = 0
-    while not large.isEmpty():
-        turn = large.where(F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / cell)) == block)
-        found = found.unionByName(measured(crossing(large, turn)))
-        block += 1
-        large = apart(found, large.where(F.ceil(F.col("n") / cell) > block))
+        new = measured(crossing(large, few.unionByName(pivots)))
+        found, large, sweep, found_any = found.unionByName(new), many, sweep + 1, not new.isEmpty()
+    if not large.isEmpty():
+        large = apart(found, large)
+        out = staged(outsiders(large), "shingle-outsiders")
+        blocks = F.ceil(F.col("n_out") / cell)
+        for block in range(int(out.agg(F.max(blocks)).first()[0] or 0)):
+            turn = out.where(F.pmod(F.xxhash64("node"), blocks) == block).select("key", "node", "root")
+            found = found.unionByName(measured(crossing(large, turn)))
     return found
 
 
