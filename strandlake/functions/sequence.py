@@ -95,6 +95,11 @@ def two_bit(kmer: Column) -> Column:
     return F.conv(F.translate(kmer, "ACGT", "0123"), 4, 10).cast("long")
 
 
+def from_two_bit(code: Column, k: int) -> Column:
+    """The k-mer of a code."""
+    return F.translate(F.lpad(F.conv(code.cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+
+
 def two_bit_mismatches(a: Column, b: Column) -> Column:
     """Positions in which two codes of equal length differ."""
     x = a.bitwiseXOR(b)

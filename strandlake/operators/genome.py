@@ -13,6 +13,14 @@ from strandlake.functions.sequence import reverse_complement
 TILE = 4096
 #: Bases of the next tile that a tile also holds: windows of up to OVERLAP + 1 lie within one tile.
 OVERLAP = 255
+BEYOND = "an interval reaches beyond its chromosome"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out by (chr, tile) to as many partitions as shuffles have; a number that Spark then doesn't lower for small
+    inputs, since each row is about to become many. Both sides of a join are, so that it needs no other exchange, and has
+    many tasks even if Spark broadcasts one of them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "chr", "tile")
 
 
 def tile_genome(chromosomes: DataFrame, size: int = TILE, overlap: int = OVERLAP) -> DataFrame:
@@ -24,7 +32,8 @@ def tile_genome(chromosomes: DataFrame, size: int = TILE, overlap: int = OVERLAP
                 s = seq.as_py() or ""
                 for low in range(0, len(s), size * 256):
                     at = range(low, min(low + size * 256, len(s)), size)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array([i // size for i in at], pa.int64()), pa.array([s[i : i + size + overlap] for i in at], pa.string())], ["chr", "tile", "sequence"])
+                    pieces = pa.array([s[i : i + size + overlap] for i in at], pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array([i // size for i in at], pa.int64()), pieces], ["chr", "tile", "sequence"])
 
     return chromosomes.select("chr", "sequence").mapInArrow(cut, "chr string, tile long, sequence string")
 
@@ -38,36 +47,43 @@ def stranded(seq: Column, strand: Column) -> Column:
 
 
 def sequences_of(loci: DataFrame, tiles: DataFrame, keys: list[str], size: int = TILE) -> DataFrame:
-    """loci (keys, chr, start, end, strand; keys tell loci apart) with their sequence, of any length, strand-aware.
+    """loci (keys, chr, start, end, strand; keys tell loci apart) with their sequence, of any length, strand-aware. A locus
+    beyond its chromosome, or on one that isn't there, is an error.
 
     Each locus meets the tiles it touches by equality; its pieces come back together in order."""
     parts = loci.withColumn("tile", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size))))
     first = F.greatest(F.col("start") - 1 - F.col("tile") * size, F.lit(0))
     last = F.least(F.col("end") - 1 - F.col("tile") * size, F.lit(size - 1))
-    parts = parts.join(tiles.withColumnRenamed("sequence", "tile_sequence"), ["chr", "tile"])
+    parts = spread(parts).join(spread(tiles.withColumnRenamed("sequence", "tile_sequence")), ["chr", "tile"], "left")
     piece = F.substring("tile_sequence", (first + 1).cast("int"), (last - first + 1).cast("int"))
-    pieces = F.transform(F.sort_array(F.collect_list(F.struct("tile", piece.alias("s")))), lambda x: x["s"])
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("tile", F.coalesce(piece, F.lit("")).alias("s")))), lambda x: x["s"])
     whole = parts.groupBy(*keys, "chr", "start", "end", "strand").agg(F.array_join(pieces, "").alias("sequence"))
-    return whole.withColumn("sequence", stranded(F.col("sequence"), checked_strand(F.col("strand"))))
+    fits = F.length("sequence") == F.col("end") - F.col("start") + 1
+    return whole.withColumn("sequence", F.when(fits, stranded(F.col("sequence"), checked_strand(F.col("strand")))).otherwise(F.raise_error(F.lit(BEYOND))))
 
 
 def windows_of(intervals: DataFrame, tiles: DataFrame, k: int, size: int = TILE) -> DataFrame:
     """Every window of k within each interval (.., chr, start, end, strand): interval columns, w_start, w_end, w_offset and
     sequence. Windows run in ascending coordinates on both strands; only the sequence turns with the strand.
 
-    Windows are cut from tiles, so no chromosome or gene is ever one string."""
+    Windows are cut from tiles, so no chromosome or gene is ever one string. The parts of the intervals are dealt out by
+    (chr, tile) before they grow to windows, so that a chromosome's windows are many tasks' work, however small the
+    tables are that they come from."""
     if not 1 <= k <= OVERLAP + 1:
         raise ValueError(f"k must be in 1..{OVERLAP + 1}")
     fitting = intervals.where(F.col("end") - F.col("start") + 1 >= k)
     parts = fitting.withColumn("tile", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - k) / size))))
-    parts = parts.join(tiles.withColumnRenamed("sequence", "tile_sequence"), ["chr", "tile"])
+    parts = spread(parts).join(spread(tiles.withColumnRenamed("sequence", "tile_sequence")), ["chr", "tile"])
     low = F.greatest(F.col("start"), F.col("tile") * size + 1)
     high = F.least(F.col("end") - k + 1, (F.col("tile") + 1) * size)
-    parts = parts.withColumn("w_start", F.explode(F.sequence(low, high)))
+    # whether the tile is long enough is asked once for all its windows
+    fits = F.length("tile_sequence") >= high - F.col("tile") * size + k - 1
+    parts = parts.withColumn("w_start", F.explode(F.when(fits, F.sequence(low, high)).otherwise(F.raise_error(F.lit(BEYOND)))))
     seq = F.substring("tile_sequence", (F.col("w_start") - F.col("tile") * size).cast("int"), F.lit(k))
-    seq = stranded(seq, checked_strand(F.col("strand")))
-    whole = F.when(F.length(seq) == k, seq).otherwise(F.raise_error(F.lit("an interval reaches beyond its chromosome")))
-    return parts.select(*intervals.columns, "w_start", (F.col("w_start") + k - 1).alias("w_end"), (F.col("w_start") - F.col("start")).alias("w_offset"), whole.alias("sequence"))
+    return parts.select(
+        *intervals.columns, "w_start", (F.col("w_start") + k - 1).alias("w_end"), (F.col("w_start") - F.col("start")).alias("w_offset"),
+        stranded(seq, checked_strand(F.col("strand"))).alias("sequence"),
+    )
 
 
 def _exactly(genes: DataFrame, what: str, most: int | None) -> DataFrame:

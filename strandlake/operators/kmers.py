@@ -7,40 +7,58 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.sequence import compress_homopolymers, reverse_complement, window_starts
+from strandlake.functions.sequence import compress_homopolymers, from_two_bit, reverse_complement, two_bit, window_starts
 
 #: Default bounds: least and greatest true count kept, and the greatest count stored.
 CI, CX, CS = 2, 1_000_000_000, 255
+#: Bases after which a record is cut.
+STRIP = 4096
 
 
 def canonical(kmer: Column) -> Column:
     return F.least(kmer, reverse_complement(kmer))
 
 
+def strips(reads: DataFrame, k: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep, at, sequence): reads cut at every STRIP bases into pieces that also hold the next k - 1; each window of k lies
+    in one piece. So no window is looked for far into a long record, and a chromosome's windows can be many tasks' work."""
+    cut = F.regexp_extract_all("sequence", F.lit(f"(?s).{{1,{STRIP}}}"), F.lit(0))
+    rest = lambda a: F.transform(a, lambda x, i: F.concat(x, F.coalesce(F.substring(F.try_element_at(a, i + 2), 1, k - 1), F.lit(""))))
+    whole = F.transform(F.array(cut), rest)[0]
+    pieces = F.when(F.length("sequence") <= STRIP, F.array("sequence")).otherwise(whole)
+    return reads.select(*keep, F.posexplode(pieces).alias("i", "sequence")).select(*keep, (F.col("i") * STRIP).cast("long").alias("at"), "sequence")
+
+
 def read_kmers(reads: DataFrame, k: int, both_strands: bool = True, compress: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row (keep, pos, kmer) for each window of k of each read, 1-based; windows with other symbols than ACGT have a null
-    k-mer."""
+    k-mer. Records of any length: long ones go in strips."""
     if not 1 <= k <= 256:
         raise ValueError("k must be in 1..256")
     seq = compress_homopolymers(F.col("sequence")) if compress else F.col("sequence")
-    rows = reads.select(*keep, seq.alias("sequence"))
-    rows = rows.select(*keep, "sequence", F.explode(window_starts(F.length("sequence"), k)).alias("i"))
+    rows = strips(reads.select(*keep, seq.alias("sequence")), k, keep)
+    rows = rows.select(*keep, "at", "sequence", F.explode(window_starts(F.length("sequence"), k)).alias("i"))
     window = F.substring("sequence", F.col("i") + 1, F.lit(k))
-    rows = rows.select(*keep, (F.col("i") + 1).cast("long").alias("pos"), window.alias("kmer"))
+    rows = rows.select(*keep, (F.col("at") + F.col("i") + 1).alias("pos"), window.alias("kmer"))
     kmer = canonical(F.col("kmer")) if both_strands else F.col("kmer")
     return rows.withColumn("kmer", F.when(F.col("kmer").rlike("^[ACGT]+$"), kmer))
 
 
+def _counted(reads: DataFrame, k: int, both_strands: bool, compress: bool = False) -> DataFrame:
+    """(kmer, cnt) of all k-mers. Partial counts are made before the one shuffle; up to k = 31 k-mers go as two-bit codes."""
+    rows = read_kmers(reads, k, both_strands, compress).where("kmer is not null")
+    key = two_bit(F.col("kmer")) if k <= 31 else F.col("kmer")
+    counted = rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.select((from_two_bit(F.col("key"), k) if k <= 31 else F.col("key")).alias("kmer"), "cnt")
+
+
 def count_kmers(reads: DataFrame, k: int = 25, ci: int = CI, cx: int = CX, cs: int = CS, both_strands: bool = True, compress: bool = False) -> DataFrame:
-    """(kmer, cnt): counts in ci..cx, stored as cs at most. Partial counts are made before the one shuffle."""
-    counted = read_kmers(reads, k, both_strands, compress).where("kmer is not null").groupBy("kmer").agg(F.count(F.lit(1)).alias("cnt"))
-    return reduce_counts(counted, ci, cx, cs)
+    """(kmer, cnt): counts in ci..cx, stored as cs at most."""
+    return reduce_counts(_counted(reads, k, both_strands, compress), ci, cx, cs)
 
 
 def count_summary(reads: DataFrame, k: int = 25, ci: int = CI, cx: int = CX, both_strands: bool = True, compress: bool = False) -> DataFrame:
     """One row: k-mers in all, distinct ones, those below ci and above cx, and reads."""
-    counted = read_kmers(reads, k, both_strands, compress).where("kmer is not null").groupBy("kmer").agg(F.count(F.lit(1)).alias("cnt"))
-    totals = counted.agg(
+    totals = _counted(reads, k, both_strands, compress).agg(
         F.coalesce(F.sum("cnt"), F.lit(0)).cast("long").alias("total_kmers"), F.count(F.lit(1)).alias("unique_kmers"),
         F.count_if(F.col("cnt") < ci).alias("below_min"), F.count_if(F.col("cnt") > cx).alias("above_max"),
         F.count_if(F.col("cnt").between(ci, cx)).alias("counted_kmers"), F.lit(1).alias("one"),
@@ -49,10 +67,22 @@ def count_summary(reads: DataFrame, k: int = 25, ci: int = CI, cx: int = CX, bot
     return totals.join(number, "one").drop("one")
 
 
+def _sampled(reads: DataFrame, k: int, one_in: int, both_strands: bool) -> DataFrame:
+    """(kmer, cnt) of the k-mers whose hash (the first 8 digits of their MD5) falls into one of one_in classes."""
+    rows = read_kmers(reads, k, both_strands).where("kmer is not null")
+    mine = F.conv(F.substring(F.md5("kmer"), 1, 8), 16, 10).cast("long") % one_in == 0
+    return rows.where(mine).groupBy("kmer").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def estimate_histogram(reads: DataFrame, k: int = 25, one_in: int = 16, both_strands: bool = True) -> DataFrame:
-    """(cnt, kmers) estimated from the k-mers whose hash falls into one of one_in classes, each counted exactly."""
-    rows = read_kmers(reads, k, both_strands).where("kmer is not null").where(F.pmod(F.xxhash64("kmer"), F.lit(one_in)) == 0)
-    return rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("cnt")).groupBy("cnt").agg((F.count(F.lit(1)) * one_in).alias("kmers"))
+    """(cnt, kmers) estimated from one class of k-mers, each counted exactly."""
+    return _sampled(reads, k, one_in, both_strands).groupBy("cnt").agg((F.count(F.lit(1)) * one_in).alias("kmers"))
+
+
+def estimate_totals(reads: DataFrame, k: int = 25, one_in: int = 16, both_strands: bool = True) -> DataFrame:
+    """One row: distinct_kmers and total_kmers, estimated likewise."""
+    total = F.coalesce(F.sum("cnt"), F.lit(0)).cast("long") * one_in
+    return _sampled(reads, k, one_in, both_strands).agg((F.count(F.lit(1)) * one_in).alias("distinct_kmers"), total.alias("total_kmers"))
 
 
 # Transforms. A frame that several branches read is worth persisting: each branch stays a filter over it.

@@ -36,17 +36,20 @@ def mask_reads(reads: DataFrame, table: DataFrame, k: int, ci: int = 1, cx: int
     """Bases that no valid k-mer covers become N; reads without a window have none covered."""
     hits = _hits(reads, table, k, ci, cx, both_strands).where("hit").groupBy("read_id").agg(F.sort_array(F.collect_list("pos")).alias("at"))
     joined = reads.join(hits, "read_id", "left").withColumn("at", F.coalesce("at", F.array().cast("array<bigint>")))
-    # one pass over the read: the valid start last seen at or before a base covers it if less than k back
-    begin = F.struct(F.lit(0).alias("next"), F.lit(-1_000_000).cast("long").alias("last"), F.lit("").alias("out"))
-
-    def step(acc, i):  # noqa: ANN001, ANN202
-        starts = (acc["next"] < F.size("at")) & (F.coalesce(F.try_element_at("at", acc["next"] + 1), F.lit(-1)) == i)
-        last = F.when(starts, i.cast("long")).otherwise(acc["last"])
-        base = F.when(last > i - k, F.substring("sequence", i, F.lit(1))).otherwise(F.lit("N"))
-        return F.struct(F.when(starts, acc["next"] + 1).otherwise(acc["next"]).alias("next"), last.alias("last"), F.concat(acc["out"], base).alias("out"))
-
-    masked = F.aggregate(F.sequence(F.lit(1), F.length("sequence")), begin, step)["out"]
-    return joined.withColumn("sequence", F.when(F.length("sequence") > 0, masked).otherwise(F.col("sequence"))).select(*reads.columns)
+    # valid starts no more than k apart cover one run; a read is its runs with N between them, each base taken once
+    at = lambda i: F.element_at("at", (i + 1).cast("int"))
+    begins = F.filter("at", lambda x, i: (i == 0) | (x > at(F.greatest(i - 1, F.lit(0))) + k))
+    ends = F.transform(F.filter("at", lambda x, i: (i == F.size("at") - 1) | (at(F.least(i + 1, F.size("at") - 1)) > x + k)), lambda x: x + k - 1)
+    runs = joined.withColumn("runs", F.arrays_zip(begins.alias("b"), ends.alias("e"))).withColumn("bases", F.split("sequence", ""))
+    unknown = lambda n: F.repeat(F.lit("N"), n.cast("int"))
+
+    def piece(r, i):  # noqa: ANN001, ANN202
+        gap = r["b"] - 1 - F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at("runs", F.greatest(i, F.lit(1)))["e"])
+        return F.concat(unknown(gap), F.array_join(F.slice("bases", r["b"].cast("int"), (r["e"] - r["b"] + 1).cast("int")), ""))
+
+    last = F.coalesce(F.try_element_at("runs", F.lit(-1))["e"], F.lit(0).cast("long"))
+    masked = F.concat(F.array_join(F.transform("runs", piece), ""), unknown(F.length("sequence") - last))
+    return runs.withColumn("sequence", F.when(F.length("sequence") > 0, masked).otherwise(F.col("sequence"))).select(*reads.columns)
 
 
 def as_fasta(reads: DataFrame) -> DataFrame:

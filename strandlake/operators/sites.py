@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.functions.sequence import site_id, window_starts
+from strandlake.functions.sequence import site_id, transcript_site_id, window_starts
 
 from .genome import TILE, distinct_exons, windows_of
 
@@ -27,17 +27,21 @@ def pre_mrna_sites(genes: DataFrame, tiles: DataFrame, k: int, prefix: str = "SL
     return _named(windows_of(spans, tiles, k, size), F.col("w_offset") + 1, "pre-mrna", prefix, first)
 
 
-def exonic_sites(exons: DataFrame, genes: DataFrame, tiles: DataFrame, k: int, prefix: str = "SL", first: int = 1, size: int = TILE, distinct_sites: bool = False) -> DataFrame:
+def exonic_sites(
+    exons: DataFrame, genes: DataFrame, tiles: DataFrame, k: int, prefix: str = "SL", first: int = 1, size: int = TILE, distinct_sites: bool = False
+) -> DataFrame:
     """Every window inside each distinct exon, numbered through the gene by (exon start, exon end, offset).
 
-    A window in two overlapping exons comes twice under two ids, unless distinct_sites."""
-    found = windows_of(distinct_exons(exons, genes), tiles, k, size)
+    A window in two overlapping exons comes twice under two ids, unless distinct_sites: then each exon begins with the
+    first window that no exon before it has. Only exons are sorted, to sum how many windows come before each."""
+    spans = distinct_exons(exons, genes)
     if distinct_sites:
-        found = found.dropDuplicates(["gene_id", "chr", "strand", "w_start"])
-        order = Window.partitionBy("gene_id").orderBy("w_start", "w_end")
-    else:
-        order = Window.partitionBy("gene_id").orderBy("start", "end", "w_offset")
-    return _named(found, F.row_number().over(order).cast("long"), "exonic_only", prefix, first)
+        before = Window.partitionBy("gene_id", "chr", "strand").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+        spans = spans.withColumn("start", F.greatest(F.col("start"), F.coalesce(F.max(F.col("end") - k + 2).over(before), F.col("start"))))
+    count = F.greatest(F.col("end") - F.col("start") - k + 2, F.lit(0))
+    before = Window.partitionBy("gene_id").orderBy("start", "end", "chr", "strand").rowsBetween(Window.unboundedPreceding, -1)
+    found = windows_of(spans.withColumn("n_before", F.coalesce(F.sum(count).over(before), F.lit(0))), tiles, k, size)
+    return _named(found, F.col("n_before") + F.col("w_offset") + 1, "exonic_only", prefix, first)
 
 
 def transcript_sites(transcripts: DataFrame, k: int) -> DataFrame:
@@ -65,16 +69,40 @@ def to_genomic(sites: DataFrame, exons: DataFrame) -> DataFrame:
     return hit.select(*sites.columns, "chr", start.alias("start"), end.alias("end"), "strand", F.col("exon_rank").cast("long").alias("exon_rank"))
 
 
-def create_target(genes: DataFrame, exons: DataFrame, tiles: DataFrame, k: int, region: str, gene_ids: list[str] | None = None, gene_names: list[str] | None = None, prefix: str = "SL", size: int = TILE) -> DataFrame:
-    """Sites of the genes named by id or by name (exactly one of the two)."""
-    if region not in REGIONS or region == "transcriptomic":
-        raise ValueError(f"region must be exonic_only or pre-mrna, not {region}; transcript_sites takes transcripts")
+def _chosen(genes: DataFrame, column: str, wanted: list[str]) -> DataFrame:
+    """The genes named; a name that none has, or a gene name that several have, is an error (one row for each name comes here)."""
+    found = genes.where(F.col(column).isin(wanted))
+    seen = {r[0]: r[1] for r in found.groupBy(column).agg(F.countDistinct("gene_id")).collect()}
+    if missing := sorted(set(wanted) - seen.keys()):
+        raise ValueError(f"no gene with {column} {missing}")
+    if several := sorted(x for x, n in seen.items() if n > 1):
+        raise ValueError(f"more than one gene with {column} {several}")
+    return found
+
+
+def create_target(
+    genes: DataFrame, exons: DataFrame, tiles: DataFrame, k: int, region: str, gene_ids: list[str] | None = None, gene_names: list[str] | None = None,
+    prefix: str = "SL", size: int = TILE, transcripts: DataFrame | None = None,
+) -> DataFrame:
+    """Sites of the genes named by id or by name (exactly one of the two), in a region of REGIONS.
+
+    transcriptomic takes spliced transcripts (transcript_id, sequence) and gives gene_id, site_id, transcript_id, t_start,
+    t_end and sequence; the exons say which transcripts a gene has."""
+    if region not in REGIONS:
+        raise ValueError(f"region must be one of {sorted(REGIONS)}, not {region}")
+    if (region == "transcriptomic") != (transcripts is not None):
+        raise ValueError("transcripts go with the transcriptomic region")
     if (gene_ids is None) == (gene_names is None):
         raise ValueError("exactly one of gene_ids and gene_names")
-    chosen = genes.where(F.col("gene_id").isin(gene_ids) if gene_ids is not None else F.col("gene_name").isin(gene_names))
+    chosen = _chosen(genes, "gene_id", gene_ids) if gene_ids is not None else _chosen(genes, "gene_name", gene_names)
     if region == "pre-mrna":
         return pre_mrna_sites(chosen, tiles, k, prefix, size=size)
-    return exonic_sites(exons, chosen, tiles, k, prefix, size=size)
+    if region == "exonic_only":
+        return exonic_sites(exons, chosen, tiles, k, prefix, size=size)
+    owners = exons.join(chosen.select("gene_id"), "gene_id", "left_semi").select("gene_id", "transcript_id").distinct()
+    found = transcript_sites(transcripts.join(owners.select("transcript_id").distinct(), "transcript_id", "left_semi"), k).join(owners, "transcript_id")
+    named = found.withColumn("site_id", transcript_site_id(F.col("transcript_id"), F.col("t_start"), F.col("t_end")))
+    return named.select("gene_id", "site_id", "transcript_id", "t_start", "t_end", "sequence")
 
 
 def site_by_id(sites: DataFrame, wanted: str) -> DataFrame:
@@ -99,7 +127,9 @@ def remove_sites(sites: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def list_sites(sites: DataFrame) -> DataFrame:
-    return sites.select(*COLUMNS)
+    """The sites with their ordinal, by gene and ordinal."""
+    ordinal = F.regexp_extract("site_id", "([0-9]+)$", 1).cast("long").alias("ordinal")
+    return sites.select(*COLUMNS, ordinal).orderBy("gene_id", "ordinal")
 
 
 def distinct_transcript_sites(sites: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def gene(spark: SparkSession, d: str) -> DataFrame:
     shift = (key * 37 % 700).cast("long")
     return _table(spark, d, "part").select(
         _gene_id("p_partkey").alias("gene_id"), F.col("p_name").alias("gene_name"),
-        F.concat(F.lit("chr"), (1 + key % chromosomes).cast("string")).alias("chr"), (1 + shift).alias("g_start"), (200 + shift).alias("g_end"),
+        F.concat(F.lit("chr"), (key % chromosomes).cast("string")).alias("chr"), (1 + shift).alias("g_start"), (200 + shift).alias("g_end"),
         F.when(key % 2 == 0, "+").otherwise("-").alias("strand"),
     )
 
@@ -67,7 +67,7 @@ def reads(spark: SparkSession, d: str) -> DataFrame:
 SQL = {
     "chrom": """select concat('chr', cast(s_suppkey as varchar)) chr, string_agg(translate(md5(concat('chr', cast(s_suppkey as varchar), '-', cast(i as varchar))),
       '0123456789abcdef', 'ACGTACGTACGTACGT'), '' order by i) as sequence from supplier, range(1, 33) t(i) group by s_suppkey""",
-    "gene": """select concat('G', lpad(cast(p_partkey as varchar), 8, '0')) gene_id, p_name gene_name, concat('chr', cast(1 + p_partkey % (select count(*) from supplier) as varchar)) chr,
+    "gene": """select concat('G', lpad(cast(p_partkey as varchar), 8, '0')) gene_id, p_name gene_name, concat('chr', cast(p_partkey % (select count(*) from supplier) as varchar)) chr,
       cast(1 + (p_partkey * 37) % 700 as bigint) g_start, cast(200 + (p_partkey * 37) % 700 as bigint) g_end, case when p_partkey % 2 = 0 then '+' else '-' end strand from part""",
     "exon": """select g.gene_id, concat('T', cast(l_orderkey as varchar)) transcript_id, g.chr, g.strand, cast(g_start + (l_linenumber - 1) * 25 as bigint) e_start,
       cast(g_start + (l_linenumber - 1) * 25 + 19 + cast(l_quantity as bigint) % 7 as bigint) e_end from lineitem join gene g on g.gene_id = concat('G', lpad(cast(l_partkey as varchar), 8, '0'))""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,21 +142,21 @@ def site_by_id(spark, d):
     return sites.site_by_id(own, name)
 
 
-@query(sql(f"select * from ({_PRE_SITES}) where strand = '+' union all select gene_id, concat(site_id, '-X') site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES}) where strand = '+' and site_id like '%1'", "chrom", "gene", **_k(_PRE, 180)))
+@query(sql(f"select * from ({_PRE_SITES}) where strand = '+' union all select gene_id, concat(site_id, '-X') site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES}) where strand = '+' and site_id like '%1'", "chrom", "gene", **_k(_PRE, 16)))
 def add_sites(spark, d):
-    own = _pre(spark, d, 180).where("strand = '+'")
+    own = _pre(spark, d).where("strand = '+'")
     return sites.add_sites(own, own.where(F.col("site_id").like("%1")).withColumn("site_id", F.concat("site_id", F.lit("-X"))))
 
 
-@query(sql(f"select * from ({_PRE_SITES}) where site_id not like '%1'", "chrom", "gene", **_k(_PRE, 180)))
+@query(sql(f"select * from ({_PRE_SITES}) where site_id not like '%1'", "chrom", "gene", **_k(_PRE, 16)))
 def remove_sites(spark, d):
-    own = _pre(spark, d, 180)
+    own = _pre(spark, d)
     return sites.remove_sites(own, own.where(F.col("site_id").like("%1")).select("gene_id", "site_id"))
 
 
-@query(sql(f"select gene_id, site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES})", "chrom", "gene", **_k(_PRE, 190)))
+@query(sql(f"select *, cast(regexp_extract(site_id, '([0-9]+)$', 1) as bigint) ordinal from ({_PRE_SITES}) order by gene_id, ordinal", "chrom", "gene", **_k(_PRE, 16)))
 def list_sites(spark, d):
-    return sites.list_sites(_pre(spark, d, 190))
+    return sites.list_sites(_pre(spark, d))
 
 
 @query(sql("select site_id, transcript_id, t_start, t_end from (select distinct concat(transcript_id, ':0-16') site_id, transcript_id, 0::bigint t_start, 16::bigint t_end from exon)", "gene", "exon"))
@@ -196,6 +197,19 @@ def create_target(spark, d):
     return sites.create_target(v.gene(spark, d), v.exon(spark, d), v.tiles(spark, d), 16, "exonic_only", gene_ids=["G00000001", "G00000002", "G00000005"], prefix=PREFIX, size=TILE)
 
 
+_OWNED = "select distinct gene_id, concat('T', cast(seq_id as varchar)) transcript_id, sequence from seqs join exon on exon.transcript_id = concat('T', cast(seq_id as varchar)) where gene_id <= 'G00000099'"
+
+
+@query(sql("""select gene_id, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 16 as varchar)) site_id, transcript_id, o::bigint t_start, (o + 16)::bigint t_end,
+  substring(sequence, cast(o + 1 as integer), 16) as sequence from (select *, unnest(range(0, 64 - 16 + 1)) o from owned)""", "gene", "exon", "seqs", owned=_OWNED))
+def create_transcript_target(spark, d):
+    """Sites of the transcripts of the first 99 genes by name, each under its own."""
+    named = v.gene(spark, d).withColumn("gene_name", F.concat("gene_name", F.lit("/"), "gene_id"))
+    names = [r[0] for r in named.where("gene_id <= 'G00000099'").select("gene_name").collect()]
+    spliced = v.seqs(spark, d).select(F.concat(F.lit("T"), F.col("seq_id").cast("string")).alias("transcript_id"), "sequence")
+    return sites.create_target(named, v.exon(spark, d), v.tiles(spark, d), 16, "transcriptomic", gene_names=names, transcripts=spliced)
+
+
 # -- k-mers ----------------------------------------------------------------------------------------------------------
 
 
@@ -240,11 +254,19 @@ def compressed_kmers(spark, d):
     return kmers.count_kmers(v.seqs(spark, d), 7, both_strands=False, compress=True, cs=1_000_000_000)
 
 
-@query(None)
+_SAMPLED = _windows("w", "seqs", 7, turned=True) | _counts("c", "w") | {"m": "select * from c where substring(md5(kmer), 8, 1) = '0'"}  # 8 hex digits modulo 16
+
+
+@query(sql("select cnt, cast(count(*) * 16 as bigint) kmers from m group by cnt", "seqs", **_SAMPLED))
 def estimated_histogram(spark, d):
     return kmers.estimate_histogram(v.seqs(spark, d), 7)
 
 
+@query(sql("select cast(count(*) * 16 as bigint) distinct_kmers, cast(sum(cnt) * 16 as bigint) total_kmers from m", "seqs", **_SAMPLED))
+def estimated_totals(spark, d):
+    return kmers.estimate_totals(v.seqs(spark, d), 7)
+
+
 @query(sql("select cast(sum(cnt) as bigint) total_kmers, count(*) unique_kmers, count(*) filter (cnt < 2) below_min, count(*) filter (cnt > 9) above_max, count(*) filter (cnt between 2 and 9) counted_kmers, (select count(*) from seqs) reads from c", "seqs", **_windows("w", "seqs", 8, turned=True), **_counts("c", "w")))
 def count_summary(spark, d):
     return kmers.count_summary(v.seqs(spark, d), 8, 2, 9)
@@ -301,6 +323,18 @@ def composed_expression(spark, d):
     return kmers.intersect(a, kmers.union(_b(spark, d), a.where("cnt > 60")))
 
 
+_DIFFERENCES = """select l.kmer, l.cnt + coalesce(r.cnt, 0) cnt from (select * from a where kmer not in (select kmer from b where cnt > 30)) l left join r on r.kmer = l.kmer
+  union all select kmer, cnt from r where kmer not in (select kmer from a where kmer not in (select kmer from b where cnt > 30))"""
+_R = {"r": "select b.kmer, b.cnt - coalesce(a.cnt, 0) cnt from b left join a on a.kmer = b.kmer where b.cnt > coalesce(a.cnt, 0)"}
+
+
+@query(sql(_DIFFERENCES, "seqs", "reads", **_AB, **_R))
+def composed_differences(spark, d):
+    """(a - (b with counts over 30)) + (b ~ a)."""
+    a, b = _a(spark, d), _b(spark, d)
+    return kmers.union(kmers.subtract(a, kmers.reduce_counts(b, 31)), kmers.subtract_counts(b, a))
+
+
 @query(sql("select * from a order by kmer", "seqs", **_A))
 def sorted_kmers(spark, d):
     return kmers.sort_kmers(_a(spark, d))
@@ -382,6 +416,17 @@ def fasta_round_trip(spark, d):
     return readers.read_fasta(spark, path)
 
 
+@query(sql("select sequence, count(*) n from (select sequence from reads union all select sequence from seqs) group by sequence", "seqs", "reads"))
+def multi_file_scan(spark, d):
+    """Two sequence files that a list file names."""
+    paths = [new_path(spark, "fasta") for _ in range(2)]
+    for path, records in zip(paths, (v.reads(spark, d), v.seqs(spark, d).withColumnRenamed("seq_id", "read_id")), strict=True):
+        writers.write_reads(reads.as_fasta(records), path)
+    listed = new_path(spark, "list")
+    spark.createDataFrame([(p,) for p in paths], "value string").coalesce(1).write.text(listed)
+    return readers.read_fasta(spark, readers.read_list(spark, listed)).groupBy("sequence").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(sql("select gene_id, transcript_id, chr, strand, e_start, e_end from exon", "gene", "exon"))
 def gtf_exons(spark, d):
     path = new_path(spark, "gtf")
@@ -390,10 +435,10 @@ def gtf_exons(spark, d):
     return readers.exons_of(readers.read_gtf(spark, path))
 
 
-@query(sql(f"select gene_id, site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES})", "chrom", "gene", **_k(_PRE, 150)))
+@query(sql(f"select gene_id, site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES})", "chrom", "gene", **_k(_PRE, 16)))
 def target_json_round_trip(spark, d):
     path = new_path(spark, "target")
-    writers.write_target_json(_pre(spark, d, 150), v.gene(spark, d), path)
+    writers.write_target_json(_pre(spark, d), v.gene(spark, d), path)
     return readers.read_target_json(spark, path).select(*sites.COLUMNS)
 
 
@@ -413,11 +458,11 @@ def kmer_dump(spark, d):
     return spark.read.option("sep", "\t").schema("kmer string, cnt string").csv(path)
 
 
-@query(sql("""select gene_id, site_id, cast(length(sequence) - length(translate(sequence, 'GC', '')) as double) / length(sequence) "GC_content", 'SYN' assembly, 'all' target, 190 k, 'pre-mrna' region from (""" + _PRE_SITES + ")", "chrom", "gene", **_k(_PRE, 190)))
+@query(sql("""select gene_id, site_id, cast(length(sequence) - length(translate(sequence, 'GC', '')) as double) / length(sequence) "GC_content", 'SYN' assembly, 'all' target, 16 k, 'pre-mrna' region from (""" + _PRE_SITES + ")", "chrom", "gene", **_k(_PRE, 16)))
 def analysis_round_trip(spark, d):
     path = new_path(spark, "analysis")
-    found = analysis.analyze_sites(_pre(spark, d, 190), {"GC_content": fs.gc_content})
-    writers.write_analysis(found, path, "SYN", "all", 190, "pre-mrna")
+    found = analysis.analyze_sites(_pre(spark, d), {"GC_content": fs.gc_content})
+    writers.write_analysis(found, path, "SYN", "all", 16, "pre-mrna")
     return spark.read.parquet(path).withColumns({"k": F.col("k").cast("int"), "assembly": F.col("assembly").cast("string")})
 
 
@@ -434,13 +479,13 @@ def gathered_analyses(spark, d):
     return analysis.gather([site, target, whole])
 
 
-@query(sql(f"select gene_id, site_id, cast(length(sequence) as bigint) n from ({_PRE_SITES})", "chrom", "gene", **_k(_PRE, 190)))
+@query(sql(f"select gene_id, site_id, cast(length(sequence) as bigint) n from ({_PRE_SITES})", "chrom", "gene", **_k(_PRE, 16)))
 def python_analysis(spark, d):
     def measure(it):
         for pdf in it:
             yield pdf[["gene_id", "site_id"]].assign(n=pdf["sequence"].str.len())
 
-    return analysis.analyze_sites_python(_pre(spark, d, 190), measure, "gene_id string, site_id string, n long")
+    return analysis.analyze_sites_python(_pre(spark, d), measure, "gene_id string, site_id string, n long")
 
 
 # -- genome-wide joins -----------------------------------------------------------------------------------------------
@@ -461,43 +506,50 @@ def exact_off_targets(spark, d):
     return offtargets.exact_off_targets(_pre(spark, d, 10), windows, v.gene(spark, d))
 
 
-def _few(spark, d):
-    return _pre(spark, d, 14).where(F.col("site_id").like("%-S000_7"))
+_NEAR = _windows("gw", "chrom", 14, "chr") | {"q": f"""select *, '+' hit_strand, sequence query from wanted union all select *, '-' hit_strand, {_rc('sequence')} query from wanted"""}
+_APART = "join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 13 <= g.g_end)"
+_NEAR_HITS = f"select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches from q join gw on hamming(q.query, gw.kmer) <= 2 {_APART}"
+_HUNDREDTH = {"wanted": "select * from ps where cast(regexp_extract(site_id, '([0-9]+)$', 1) as bigint) % 100 = 0"}
+_SUMMARY = """select n.gene_id, n.site_id, count(*) hits, count(distinct n.chr) chromosomes, any_value(coalesce(t.genes, 0)) genes, count(*) filter (mismatches = 0) mm0,
+  count(*) filter (mismatches = 1) mm1, count(*) filter (mismatches = 2) mm2 from n left join t on t.gene_id = n.gene_id and t.site_id = n.site_id group by n.gene_id, n.site_id"""
+_TOUCHED = {"t": "select n.gene_id, n.site_id, count(distinct o.gene_id) genes from n join gene o on o.chr = n.chr and n.pos <= o.g_end and o.g_start <= n.pos + 13 group by n.gene_id, n.site_id"}
 
 
-_NEAR = _windows("gw", "chrom", 14, "chr") | {"q": f"select *, '+' hit_strand, sequence query from ps where site_id like '%-S000_7' and gene_id <= 'G00000040' union all select *, '-' hit_strand, {_rc('sequence')} query from ps where site_id like '%-S000_7' and gene_id <= 'G00000040'"}
-_NEAR_HITS = "select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches from q join gw on hamming(q.query, gw.kmer) <= 2 join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 13 <= g.g_end)"
+def _near(spark, d, wanted: DataFrame):
+    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 14, TILE)
+    return offtargets.near_off_targets(wanted, windows, v.gene(spark, d), 14, 2)
 
 
-def _near(spark, d):
-    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 14, TILE)
-    return offtargets.near_off_targets(_few(spark, d).where("gene_id <= 'G00000040'"), windows, v.gene(spark, d), 14, 2)
+def _hundredth(spark, d):
+    """The queries of the search: sites whose number is divisible by 100, against all windows."""
+    return _pre(spark, d, 14).where(F.regexp_extract("site_id", "([0-9]+)$", 1).cast("long") % 100 == 0)
 
 
-@query(sql(_NEAR_HITS, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_NEAR))
+@query(sql(_NEAR_HITS, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_HUNDREDTH, **_NEAR))
 def near_off_targets(spark, d):
-    return _near(spark, d)
+    return _near(spark, d, _hundredth(spark, d))
 
 
-@query(sql("select gene_id, site_id, count(*) hits, count(distinct chr) chromosomes, count(*) filter (mismatches = 0) mm0, count(*) filter (mismatches = 1) mm1, count(*) filter (mismatches = 2) mm2 from n group by gene_id, site_id", "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_NEAR, n=_NEAR_HITS))
+@query(sql(_SUMMARY, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_HUNDREDTH, **_NEAR, n=_NEAR_HITS, **_TOUCHED))
 def off_target_summary(spark, d):
-    return offtargets.off_target_summary(_near(spark, d), 2)
+    return offtargets.off_target_summary(_near(spark, d, _hundredth(spark, d)), 2, v.gene(spark, d), 14)
 
 
-def _near_all(spark, d):
-    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 14, TILE)
-    return offtargets.near_off_targets(_pre(spark, d, 14), windows, v.gene(spark, d), 14, 2)
+# every site against every window; the SQL, too, finds candidates by parts of the strings
+_PARTS = ((1, 3), (4, 4), (8, 3), (11, 4))
+_SHARED = [" and ".join(f"substring(query, {a}, {n}) = substring(kmer, {a}, {n})" for a, n in pair) for pair in combinations(_PARTS, 2)]
+_ALL_NEAR = {"wanted": "select * from ps", **_NEAR, "qd": "select distinct query from q", "near": " union ".join(f"select query, chr, pos, kmer from qd join gw on {on} where hamming(query, kmer) <= 2" for on in _SHARED)}
+_ALL_HITS = f"select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches from q join near gw on gw.query = q.query {_APART}"
 
 
-# every site against every window, without SQL: a test holds a sample of the sites against brute force
-@query(None)
+@query(sql(_ALL_HITS, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_ALL_NEAR))
 def all_near_off_targets(spark, d):
-    return _near_all(spark, d)
+    return _near(spark, d, _pre(spark, d, 14))
 
 
-@query(None)
+@query(sql(_SUMMARY, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_ALL_NEAR, n=_ALL_HITS, **_TOUCHED))
 def all_off_target_summary(spark, d):
-    return offtargets.off_target_summary(_near_all(spark, d), 2)
+    return offtargets.off_target_summary(_near(spark, d, _pre(spark, d, 14)), 2, v.gene(spark, d), 14)
 
 
 def _loci(spark, d):
@@ -505,10 +557,10 @@ def _loci(spark, d):
     o = v._table(spark, d, "orders")
     n = v._table(spark, d, "supplier").count()
     start = (1 + F.col("o_orderkey") * 13 % 1000).cast("long")
-    return o.select(F.col("o_orderkey").cast("long").alias("hit_id"), F.concat(F.lit("chr"), (1 + F.col("o_custkey") % n).cast("string")).alias("chr"), start.alias("start"), (start + 15).alias("end"))
+    return o.select(F.col("o_orderkey").cast("long").alias("hit_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % n).cast("string")).alias("chr"), start.alias("start"), (start + 15).alias("end"))
 
 
-_LOCI = {"loci": "select o_orderkey::bigint hit_id, concat('chr', cast(1 + o_custkey % (select count(*) from supplier) as varchar)) chr, cast(1 + o_orderkey * 13 % 1000 as bigint) as start, cast(16 + o_orderkey * 13 % 1000 as bigint) as \"end\" from orders"}
+_LOCI = {"loci": "select o_orderkey::bigint hit_id, concat('chr', cast(o_custkey % (select count(*) from supplier) as varchar)) chr, cast(1 + o_orderkey * 13 % 1000 as bigint) as start, cast(16 + o_orderkey * 13 % 1000 as bigint) as \"end\" from orders"}
 
 
 @query(sql("""select h.*, case when hit_id in (select hit_id from loci l join exon e on e.chr = l.chr and l.start <= e.e_end and e.e_start <= l."end") then 'exonic'
@@ -519,7 +571,7 @@ def hit_locations(spark, d):
 
 @query(sql("select hit_id, l.chr, l.start, (select max(struct_pack(s := g_start, g := gene_id)) from gene g where g.chr = l.chr and g.g_start <= l.start).g gene_id from loci l", "gene", **_LOCI))
 def nearest_genes(spark, d):
-    return offtargets.nearest_gene(_loci(spark, d), v.gene(spark, d))
+    return offtargets.nearest_gene(_loci(spark, d), v.gene(spark, d), 128)
 
 
 @query(sql("select distinct kmer from wt where kmer not in (select kmer from wo)", "chrom", "gene", **_k(_PRE, 9), ps=_PRE_SITES,

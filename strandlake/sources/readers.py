@@ -2,34 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TARGET = "id string, name string, chr string, start long, end long, strand string, sequence string, sites map<string, struct<chr:string, start:bigint, end:bigint, strand:string, sequence:string>>"
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str], upper: bool = True) -> DataFrame:
-    """(name, description, sequence) of each record; several files, and gzip, as Spark reads them."""
-    raw = spark.read.option("lineSep", ">").text(paths).where(F.trim("value") != "")
+    """(name, description, sequence) of each record; several files, and gzip, as Spark reads them. A record begins with > at
+    the beginning of a line only; the separator takes it away, but for a file's first record."""
+    raw = spark.read.option("lineSep", "\n>").text(paths).select(F.regexp_replace("value", r"^\s*>", "").alias("value")).where(F.trim("value") != "")
     head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     seq = F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s", "")
-    return raw.select(F.regexp_extract(head, r"^(\S+)", 1).alias("name"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), (F.upper(seq) if upper else seq).alias("sequence"))
+    return raw.select(
+        F.regexp_extract(head, r"^(\S+)", 1).alias("name"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"),
+        (F.upper(seq) if upper else seq).alias("sequence"),
+    )
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, n, value): the lines of each file with their 0-based numbers.
+
+    Spark numbers rows within a task; a small table of where each file block begins turns that into numbers within a file."""
+    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("id"))
+    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return lines.join(blocks, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("n"), "value")
+
+
+def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(read_id, sequence, qual) of four-line records. Records may cross file splits, so lines are numbered first: quality
-    lines may begin with @, and no other sign tells where a record starts."""
-    lines = spark.sparkContext.textFile(path).zipWithIndex().toDF("value string, n long")
+    lines may begin with @, and no other sign tells where a record starts. Blank lines at the end of a file are dropped."""
     part = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
-    whole = lines.groupBy(F.floor(F.col("n") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("sequence"), part(3).alias("qual"))
-    return whole.select(F.regexp_extract("head", r"^@(\S+)", 1).alias("read_id"), "sequence", "qual")
+    whole = _numbered_lines(spark, path).groupBy("file", F.floor(F.col("n") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("sequence"), part(3).alias("qual"))
+    return whole.where(F.trim("head") != "").select(F.regexp_extract("head", r"^@(\S+)", 1).alias("read_id"), "sequence", "qual")
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     """(chr, source, feature, start, end, strand, gene_id, gene_name, transcript_id, exon_number, tags) of each line."""
-    rows = spark.read.option("sep", "\t").option("comment", "#").option("quote", "").schema("chr string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string").csv(path)
+    columns = "chr string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
+    rows = spark.read.option("sep", "\t").option("comment", "#").option("quote", "").schema(columns).csv(path)
     value = lambda name: F.nullif(F.regexp_extract("attributes", rf'(?:^|;)\s*{name} "([^"]*)"', 1), F.lit(""))
-    return rows.select("chr", "source", "feature", "start", "end", "strand", value("gene_id").alias("gene_id"), value("gene_name").alias("gene_name"), value("transcript_id").alias("transcript_id"), F.nullif(F.regexp_extract("attributes", r'exon_number "?(\d+)', 1), F.lit("")).cast("int").alias("exon_number"), F.regexp_extract_all("attributes", F.lit(r'(?:^|;)\s*tag "([^"]*)"'), F.lit(1)).alias("tags"))
+    number = F.nullif(F.regexp_extract("attributes", r'exon_number "?(\d+)', 1), F.lit("")).cast("int")
+    tags = F.regexp_extract_all("attributes", F.lit(r'(?:^|;)\s*tag "([^"]*)"'), F.lit(1))
+    names = [value(x).alias(x) for x in ("gene_id", "gene_name", "transcript_id")]
+    return rows.select("chr", "source", "feature", "start", "end", "strand", *names, number.alias("exon_number"), tags.alias("tags"))
 
 
 def genes_of(gtf: DataFrame) -> DataFrame:

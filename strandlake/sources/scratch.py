@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where none is configured."""
+    """The folder in spark.checkpoint.dir. Where none is set, a local session gets a temporary one; on a cluster that is an
+    error, since each executor would write to a disk of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="strandlake-")
         spark.sparkContext.setCheckpointDir(found)
     return found

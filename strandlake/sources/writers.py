@@ -27,6 +27,11 @@ def write_analysis(results: DataFrame, path: str, assembly: str, target: str, k:
     marked.write.mode(_mode(reuse)).partitionBy("assembly", "target", "k", "region").format(kind).save(path)
 
 
+def write_tiles(tiles: DataFrame, path: str, reuse: bool = False) -> None:
+    """Genome tiles, dealt out and sorted by place, so that a genome is cut once; spark.read.parquet reads them."""
+    tiles.repartitionByRange("chr", "tile").sortWithinPartitions("chr", "tile").write.mode(_mode(reuse)).parquet(path)
+
+
 def write_kmer_table(table: DataFrame, path: str, reuse: bool = False) -> None:
     table.write.mode(_mode(reuse)).parquet(path)
 
