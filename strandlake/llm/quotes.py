@@ -2,28 +2,37 @@
 
 Lines that begin with > are quoted; the number of > is the level, and adjacent lines of one level are a passage.
 Passages, and their lines of LEAST characters or more, are normalised (lower case, white space to one space) and hashed.
-A quote's original is the earliest message of the conversation with that text of its own, as a whole message, a
-paragraph or a line, if it stands before the quoting message. A message replies to the original of its outermost linked
-level (of several there the one with most quoted characters, then the latest). thread_root is where its chain of replies
-begins, depth how long the chain is; (conv_id, thread_root, turn) is reply order, in which no reply precedes what it
-answers. text is what the message says itself: quotes, and the lines that announce them, are gone.
+A quote's original is the earliest message of the conversation with that text of its own (by 64-bit hash and length), as a
+whole message, a paragraph or a line, if it stands before the quoting message. A message replies to the original of its
+outermost linked level (of several there the one with most quoted characters, then the latest). thread_root is where its
+chain of replies begins, depth how long the chain is, position its place in the thread: (conv_id, thread_root, position)
+is reply order, in which no reply precedes what it answers. text is what the message says itself: quotes, and the lines
+that announce them just above, are gone; line ends are \n, white space at the ends of lines goes.
+
+build_conversations makes role-tagged texts of that, as records of at most PART messages of a thread, so that a thread of
+any length is many records and no group is collected whole.
 
 Every distinct own text of a conversation is one row before quotes join it, so a phrase that thousands of messages
-repeat stays one candidate. Null and empty texts are empty messages; messages with null conv_id or turn link to
-nothing. Repeated rows come out as often as they stand. An empty table gives an empty result; other columns are ignored.
+repeat stays one candidate; positions are counted by bins of turns, so a conversation that holds a third of all messages
+is many tasks' work. Null and empty texts are empty messages, texts of any length are read whole; messages with null
+conv_id or turn link to nothing and have no position. Repeated rows come out as often as they stand, side by side. An
+empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import let, staged, table
 
 #: Characters from which a single line is evidence.
 LEAST = 20
+#: Turns that are counted together, and messages of a record.
+BIN, PART = 1024, 256
 _MARKS = r"^((?:[ \t]*>)+)"
-_ANNOUNCES = r"(?i)^(?:on|am|le|el)\b.{0,200}\b(?:wrote|schrieb|écrit|escribió)\s*:\s*$"
+#: How a line begins and which verb it has that announces the quote below it.
+_ANNOUNCES = r"(?i)^\s*(?:on|am|le|el)\b.*\b(?:wrote|schrieb|écrit|escribió)\b.*:\s*$"
 
 
 def normal(text: Column) -> Column:
@@ -67,9 +76,11 @@ def _keys(of: Column) -> Column:
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, reply_to, thread_root, depth, n_quotes and n_linked of every message."""
+    """conv_id, turn, role, text, reply_to, thread_root, depth, position, n_quotes and n_linked of every message."""
     cut = messages.select("conv_id", "turn", "role", parsed_lines(F.col("text")).alias("lines"), F.col("text").contains(">").alias("may"))
-    own_lines = F.filter("lines", lambda x: (x["level"] == 0) & ~(F.col("may") & x["body"].rlike(_ANNOUNCES)))
+    at = lambda i: F.try_element_at("lines", i)
+    quoted_next = lambda i: F.coalesce((at(i + 2)["level"] > 0) | ((at(i + 2)["body"] == "") & (at(i + 3)["level"] > 0)), F.lit(False))
+    own_lines = F.filter("lines", lambda x, i: (x["level"] == 0) & ~(F.col("may") & quoted_next(i) & x["body"].rlike(_ANNOUNCES)))
     own = F.regexp_replace(F.array_join(F.transform(own_lines, lambda x: x["body"]), "\n"), r"^\s+|\s+$", "")
     quoted = F.when(F.exists("lines", lambda x: x["level"] > 0), F.filter(passages(F.col("lines")), lambda p: p["level"] > 0)).otherwise(F.array().cast("array<struct<level:int,body:string>>"))
     read = cut.select("conv_id", "turn", "role", own.alias("text"), quoted.alias("quoted"), F.filter(passages(own_lines), lambda p: p["body"] != "").alias("own"))
@@ -77,17 +88,40 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quotes = read.where(F.size("quoted") > 0).select("conv_id", "turn", F.explode(_keys(F.col("quoted"))).alias("q")).select("conv_id", "turn", "q.*")
     quotes = staged(quotes.where("conv_id is not null and turn is not null"), "quotes")
     whole = let(normal(F.col("text")), lambda n: F.struct(F.lit(0).alias("level"), F.xxhash64(n).alias("h"), F.length(n).alias("chars")))
-    named = read.select("conv_id", "turn", F.explode_outer(F.concat(F.array(whole), _keys(F.col("own")))).alias("o")).select("conv_id", "turn", "o.h")
-    wanted = quotes.select("conv_id", "h").distinct()
-    originals = named.join(wanted, ["conv_id", "h"], "left_semi").groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
-    linked = quotes.join(originals, ["conv_id", "h"]).where("origin < turn")
+    named = read.select("conv_id", "turn", F.explode_outer(F.concat(F.array(whole), _keys(F.col("own")))).alias("o")).select("conv_id", "turn", "o.h", "o.chars")
+    key = ["conv_id", "h", "chars"]
+    originals = named.join(quotes.select(*key).distinct(), key, "left_semi").groupBy(*key).agg(F.min("turn").alias("origin"))
+    linked = quotes.join(originals, key).where("origin < turn")
     by_origin = linked.groupBy("conv_id", "turn", "level", "origin").agg(F.sum("chars").alias("chars"))
     best = by_origin.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "chars", "origin"))["origin"].alias("reply_to"), F.count(F.lit(1)).alias("n_linked"))
     chains = thread_roots(best)
-    return read.join(chains, ["conv_id", "turn"], "left").select(
+    found = read.join(chains, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "text", "reply_to", F.coalesce("thread_root", "turn").alias("thread_root"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
         F.size("quoted").cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
     )
+    return positioned(found)
+
+
+def positioned(messages: DataFrame) -> DataFrame:
+    """The messages with position, the 0-based place of each in its thread by turn."""
+    known = (F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).alias("known")
+    binned = messages.select("*", known, F.floor(F.col("turn") / BIN).alias("bin"))
+    thread = ["conv_id", "thread_root"]
+    sizes = binned.where("known").groupBy(*thread, "bin").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*thread).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*thread, "bin", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy(*thread, "bin").orderBy("turn", "role", "text"))
+    placed = binned.where("known").withColumn("within", within).join(sizes, [*thread, "bin"]).select(*messages.columns, (F.col("before") + F.col("within") - 1).alias("position"))
+    return placed.unionByName(binned.where("not known").select(*messages.columns, F.lit(None).cast("long").alias("position")))
+
+
+def build_conversations(linked: DataFrame, part: int = PART) -> DataFrame:
+    """conv_id, thread_root, part, n_messages and text: the messages of a thread in reply order, each under its role, at most
+    `part` in a record. Messages without a position are left out."""
+    tagged = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), "text")
+    rows = linked.where("position is not null").select("conv_id", "thread_root", F.floor(F.col("position") / part).alias("part"), F.struct("position", tagged.alias("t")).alias("m"))
+    one = F.array_join(F.transform(F.sort_array(F.collect_list("m")), lambda x: x["t"]), "\n")
+    return rows.groupBy("conv_id", "thread_root", "part").agg(F.count(F.lit(1)).alias("n_messages"), one.alias("text"))
 
 
 def thread_roots(replies: DataFrame) -> DataFrame:
