@@ -25,6 +25,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def restaged(df: DataFrame, name: str, before: str | None = None) -> tuple[DataFrame, str]:
+    """staged for loops: the new table and its path; the one before, which nothing needs any more, is deleted."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if before:
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def in_slices(it: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The batches in slices of so many rows, or half as many as long as those have more bytes: Python then holds the objects
     of few texts at a time."""

@@ -5,8 +5,9 @@ all documents (raw) and one from those that a stated rule trusts (target). A doc
 n-grams of log(P(target) / P(raw)), with add-one smoothing: length-normalised, so long and short texts compare. Every
 document at LEAST or more is kept, all others go; nothing is drawn at random.
 
-Null and empty texts have zero counts and mark 0 (they fail the base rule for want of words). Repeated rows count and
-come out as often as they stand. In an empty table nothing is counted and nothing comes out. Other columns are ignored.
+Null and empty texts have zero counts and mark 0 (they fail the base rule for want of words). Texts of any length are
+read whole; equal marks are equal verdicts. Repeated rows count and come out as often as they stand. In an empty table
+nothing is counted and nothing comes out. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, staged, table
+from .common import let, restaged, staged, table
 
 #: Characters from which a single line is evidence.
 LEAST = 20
@@ -126,11 +126,11 @@ def build_conversations(linked: DataFrame, part: int = PART) -> DataFrame:
 
 def thread_roots(replies: DataFrame) -> DataFrame:
     """thread_root and depth for (conv_id, turn, reply_to): chains halve in each round, as replies point backwards."""
-    now = staged(replies.select("conv_id", "turn", "reply_to", "n_linked", F.col("reply_to").alias("thread_root"), F.lit(1).alias("depth")), "threads")
+    now, path = restaged(replies.select("conv_id", "turn", "reply_to", "n_linked", F.col("reply_to").alias("thread_root"), F.lit(1).alias("depth")), "threads")
     while True:
         up = now.select("conv_id", F.col("turn").alias("thread_root"), F.col("thread_root").alias("next"), F.col("depth").alias("more"))
         stepped = now.join(up, ["conv_id", "thread_root"], "left").select("conv_id", "turn", "reply_to", "n_linked", F.coalesce("next", "thread_root").alias("thread_root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved"))
-        now = staged(stepped, "threads")
+        now, path = restaged(stepped, "threads", path)
         if now.where("moved").isEmpty():
             return now.drop("moved")
         now = now.drop("moved")

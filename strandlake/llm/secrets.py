@@ -12,8 +12,12 @@ less, so they are judged among themselves) the share of truly random candidates
 p-values, where few words reach, and the threshold is the least p above which the expected share of words is at most
 `rate`: false-discovery control that knows lengths. The corpus-wide histogram that this needs has 4 classes of 50 bins.
 
-Null and empty texts have no spans; repeated rows count and come out as often as they stand; an empty table gives an
-empty result. Other columns are ignored.
+Where a class of lengths has no candidates, or only ones that words explain, nothing is added in it; a lone key is found
+only if its p falls where few words' do.
+
+Null and empty texts have no spans; texts of any length are read whole; tokens of equal length class and p are decided
+alike. Repeated rows count and come out as often as they stand; an empty table gives an empty result. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, located, table
+from .common import let, located, running_totals, table
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -174,17 +178,20 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rate: float = 0.1) -> DataFr
     _, spans = secret_spans(docs, rate)
     text = F.coalesce("text", F.lit(""))
 
-    def rebuilt(s: Column) -> Column:
-        # spans of several kinds may overlap: each piece of text begins where all spans so far have ended
-        ends = F.transform(s, lambda _, i: F.array_max(F.transform(F.slice(s, F.lit(1), i + 1), lambda x: x["end"])))
-
-        def pieces(e: Column) -> Column:
-            gap = lambda x, i: F.when(i == 0, F.substring(text, F.lit(1), x["start"])).when(x["start"] > F.element_at(e, F.greatest(i, F.lit(1))), F.concat(F.lit(mask), F.substring(text, F.element_at(e, F.greatest(i, F.lit(1))) + 1, x["start"] - F.element_at(e, F.greatest(i, F.lit(1)))))).otherwise("")
-            return F.concat(F.array_join(F.transform(s, gap), ""), F.lit(mask), F.substring(text, F.element_at(e, -1) + 1, F.length(text)))
+    # spans of several kinds may overlap: a masked stretch lasts from where the first opens to where all have closed
+    edge = lambda name, step: F.transform("redact_s", lambda x: F.struct(x[name].alias("at"), F.lit(-step).alias("order"), F.lit(step).alias("step")))
+    opened = running_totals(F.transform("redact_e", lambda x: x["step"]))
+    state = F.zip_with("redact_e", opened, lambda x, n: F.struct(x["at"].alias("at"), x["step"].alias("step"), n.alias("n")))
+    where = lambda n, step: F.transform(F.filter("redact_e", lambda x: (x["n"] == n) & (x["step"] == step)), lambda x: x["at"])
 
-        return F.when(F.size(s) == 0, F.col("text")).otherwise(let(ends, pieces))
+    def piece(x: Column, i: Column) -> Column:
+        until = F.when(i == 0, 0).otherwise(F.element_at("redact_r", F.greatest(i, F.lit(1)))["e"])
+        return F.concat(F.substring(text, until + 1, x["b"] - until), F.lit(mask))
 
-    changed = docs.withColumn("text", let(spans, rebuilt))
+    tail = F.substring(text, F.element_at("redact_r", -1)["e"] + 1, F.length(text))
+    rebuilt = F.when(F.size("redact_s") == 0, F.col("text")).otherwise(F.concat(F.array_join(F.transform("redact_r", piece), ""), tail))
+    marked = docs.withColumn("redact_s", spans).withColumn("redact_e", F.array_sort(F.concat(edge("start", 1), edge("end", -1)))).withColumn("redact_e", state)
+    changed = marked.withColumn("redact_r", F.arrays_zip(where(1, 1).alias("b"), where(0, -1).alias("e"))).withColumn("text", rebuilt).select(*docs.columns)
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else changed
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, keep_rows, staged, table
+from .common import in_slices, keep_rows, restaged, staged, table
 
 RADIUS = 4
 WIDTH = 4
@@ -133,7 +133,7 @@ def components(links: DataFrame) -> DataFrame:
     """node and root (its component's least node) of every node in links (a, b): large-star, small-star rounds.
 
     Each round is two aggregations; the number of rounds grows with the logarithm of the longest chain."""
-    edges = staged(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v"), "links")
+    edges, path = restaged(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v"), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -143,7 +143,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "v").select("low", "u", "v")
         # v and all its smaller neighbours hang on the least of them
         small = small.select(F.explode(F.array(F.struct("low", F.col("v").alias("x")), F.struct("low", F.col("u").alias("x")))).alias("e")).select(F.col("e.low").alias("u"), F.col("e.x").alias("v")).where("u < v").distinct()
-        edges = staged(small, "links")
+        edges, path = restaged(small, "links", path)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
