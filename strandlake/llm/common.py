@@ -48,11 +48,21 @@ def in_slices(it: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1 << 23
             at += n
 
 
-def keep_rows(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """The rows of docs that heads names by doc_id and h, the hash of the text; one of rows that are equal in both."""
-    at = "keep_rows_h"  # beside whatever columns docs has
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of a few numbers a row, to be broadcast if it has so many rows or fewer; else joined as Spark likes."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """docs without the rows that gone names by doc_id and h, the hash of the text, and with one each of those that repeated
+    names (rows that are equal in both). Texts are only moved where these tables are too large to be sent around."""
+    at = "drop_rows_h"  # beside whatever columns docs has
+    key = ["doc_id", at]
     hashed = docs.withColumn(at, F.xxhash64("text"))
-    return hashed.join(heads.select("doc_id", F.col("h").alias(at)).distinct(), ["doc_id", at], "left_semi").dropDuplicates(["doc_id", at]).select(*docs.columns)
+    named = lambda df: df.select("doc_id", F.col("h").alias(at))
+    away = small(staged(named(gone).unionByName(named(repeated)).distinct(), "rows-away"))
+    once = small(staged(named(repeated).distinct(), "rows-once"))
+    return hashed.join(away, key, "left_anti").unionByName(hashed.join(once, key, "left_semi").dropDuplicates(key)).select(*docs.columns)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -6,16 +6,14 @@ fewer; none without words), and sets are compared by these. Documents with equal
 the set), so a group of copies of any size is one row.
 
 Candidates: a pair at 0.8 has a fifth of its runs apart but few words, so the fingerprints are taken of the words: each
-distinct word votes on 64 bits with the root of its count. PRINTS fingerprints under as many hash functions go into the
-covering tables of simhash, which bring every pair together that differs in RADIUS or fewer bits of one fingerprint.
+distinct word votes on 64 bits with the root of its count. PRINTS fingerprints under as many hash functions go through
+the covering tables of simhash, which connect all that differ in RADIUS or fewer bits of one fingerprint: a cluster is
+what such links join. Every node is in one cluster, and that takes no pairs.
 
-Links: every candidate is measured on the two whole sets, and only pairs at or above the limit link. As components are
-wanted, not links, this goes in steps that leave out what is connected already: each node against the least node it
-meets; the members of a bucket against its least; then, in buckets whose members aren't all connected yet, all
-unconnected candidates of small buckets. Beyond CELL members only those outside a bucket's largest component are left to
-measure against the others. Where they are CELL or fewer that is done at once; otherwise sweeps measure all members
-against PIVOTS at random while that finds links, and what is left outside then goes block by block, about CELL at a time.
-So no candidate is left out, and no step lists the pairs of a group.
+Links: within a cluster all pairs whose fingerprints are within the radius are measured on the two whole sets, and those
+at or above the limit link. A task does that for the nodes of two cells at once, with an index from runs to nodes, and
+gives back a spanning forest of the links only. Cells hold about CELL nodes and CELL_RUNS runs; most clusters are one
+cell, and one of k cells sends its sets k - 1 times. So no pair within the radius is left out, and no list of pairs is made.
 
 Null and blank texts have the empty set and are alike. Texts of any length are read whole. Rows without a doc_id stay.
 Of a component stays the row with the least (doc_id, hash of the text): rows that share a doc_id with unlike texts are
@@ -30,16 +28,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices, keep_rows, staged
-from .simhash import _LOWER, RADIUS, components, covering_masks
+from .common import in_slices, small, staged
+from .simhash import _LOWER, RADIUS, components, keep_heads, near_links
 
 WIDTH, LIMIT = 5, 0.8
 PRINTS = 5
-#: Members up to which all unconnected candidates of a bucket are measured, and those that a sweep measures all others against.
-CELL, PIVOTS = 64, 8
+#: Nodes and runs of a cell, about.
+CELL, CELL_RUNS = 2048, 500_000
 #: Nodes that a task puts into the tables.
 SPREAD = 8192
 _BLOCK = 4096
@@ -79,14 +77,14 @@ def word_prints(text: str | None) -> np.ndarray:
     """PRINTS fingerprints of a text's words; a bit is 1 if over half the weight votes for it."""
     counts = Counter(_words(text))
     base = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
-    weight = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
+    weight = np.rint(1024 * np.sqrt(np.fromiter(counts.values(), np.float64, len(counts))))  # whole numbers, so that sums are exact
     out = []
     for salt in _SALTS:
         votes = np.zeros(64, np.float64)
         for at in range(0, len(base), _BLOCK):
             bits = np.unpackbits(_mixed(base[at : at + _BLOCK], salt).view(np.uint8).reshape(-1, 8), axis=1)
-            votes += weight[at : at + _BLOCK] @ bits
-        out.append(np.packbits(2 * votes > weight.sum(dtype=np.float64)).view(np.uint64)[0])
+            votes += weight[at : at + _BLOCK] @ bits.astype(np.float64)
+        out.append(np.packbits(2 * votes > weight.sum()).view(np.uint64)[0])
     return np.array(out, np.uint64)
 
 
@@ -95,6 +93,34 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
+def forest(sets: list[np.ndarray], prints: np.ndarray, limit: float, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Links that join what pairs within the radius (of a row of prints) and at or above the limit join: breadth first, with
+    the sizes of all intersections of a set from an index of runs at once."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    _, run = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(run, kind="stable")
+    owner, at = np.repeat(np.arange(n), sizes)[order], np.searchsorted(run[order], np.arange(int(run.max(initial=-1)) + 2))
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    links, left = [], np.ones(n, bool)
+    for start in range(n):
+        if not left[start]:
+            continue
+        left[start], front = False, [start]
+        while front and left.any():
+            x = front.pop()
+            own = run[first[x] : first[x + 1]]
+            low, size = at[own], at[own + 1] - at[own]
+            places = np.repeat(low - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+            both = np.bincount(owner[places], minlength=n)
+            alike = left & (both >= limit * (sizes[x] + sizes - both) - 1e-9)
+            alike = np.flatnonzero(alike)
+            alike = alike[(np.bitwise_count(prints[alike] ^ prints[x]) <= radius).any(axis=1)]
+            left[alike] = False
+            links += [(x, int(y)) for y in alike]
+            front += alike.tolist()
+    return links
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate(([0], np.cumsum([len(x) for x in rows]))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)))
@@ -114,119 +140,64 @@ def _marked(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(measure, f"doc_id {kind}, h long, node long, m int, prints array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and its set, for the nodes in wanted (node, first_id)."""
-
-    def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(it, 128):
-            sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), _lists(sets)], ["node", "set"])
-
-    texts = docs.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    return texts.mapInArrow(measure, "node long, set array<long>").dropDuplicates(["node"])
-
-
-def _measured(pairs: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are alike."""
-
-    def measure(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            alike = [similarity(x.values.to_numpy(), y.values.to_numpy()) >= limit for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long")
-
-
-def _keys(prints: Column, radius: int) -> Column:
-    """The keys of a node in all tables of all fingerprints."""
-    one = lambda p, j: F.array(*(F.xxhash64(j, F.lit(t), p.bitwiseAND(F.lit(m))) for t, m in enumerate(covering_masks(radius))))
-    return F.flatten(F.transform(prints, one))
-
-
-def buckets_of(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(key, node, n, head): the tables' buckets with two or more members, their size and least member."""
-    # sets of fewer than 4 runs are alike only if equal; every node becomes PRINTS * 31 rows, so tasks begin with few nodes
-    few = nodes.where("m >= 4").select("node", "prints")
-    rows = few.repartition(max(1, few.count() // SPREAD)).select("node", F.explode(_keys(F.col("prints"), radius)).alias("key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1")
-    return rows.join(sizes, "key").select("key", "node", "n", "head")
+def clusters(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, cluster): what fingerprints within the radius join, for nodes that aren't alone."""
+    # sets of fewer than 4 runs are alike only if equal
+    each = nodes.where("m >= 4").select("node", F.posexplode("prints").alias("j", "fp"))
+    shared = staged(each.groupBy("j", "fp").agg(F.min("node").alias("head"), F.max("node").alias("other")), "print-values")
+    # every fingerprint becomes 31 rows, so tasks begin with few
+    values = shared.select("j", "fp")
+    near = near_links(values.repartition(max(1, values.count() // SPREAD)), radius, by=("j",))
+    head = shared.select("j", F.col("fp"), "head")
+    pairs = near.join(head.withColumnsRenamed({"fp": "a", "head": "x"}), ["j", "a"]).join(head.withColumnsRenamed({"fp": "b", "head": "y"}), ["j", "b"]).select("x", "y")
+    equal = each.join(shared.where("head < other"), ["j", "fp"]).where("node != head").select(F.col("head").alias("x"), F.col("node").alias("y"))
+    links = pairs.unionByName(equal).where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found = components(links)
+    return found.select("node", F.col("root").alias("cluster")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("cluster")).distinct())
 
 
 def links_of(docs: DataFrame, nodes: DataFrame, width: int, limit: float, cell: int = CELL, radius: int = RADIUS) -> DataFrame:
-    """Links (a, b) between nodes (node, m, prints, first_id), all at or above the limit, that connect what all candidates
-    at or above it connect."""
-    members = staged(buckets_of(nodes, radius), "shingle-buckets")
-    known = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "shingle-members")
-    sets = staged(_sets(docs, known, width), "shingle-sets")
-    traits = known.select("node", "m", "prints")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) whose sizes allow the limit and of whose fingerprints one is within the radius."""
-        a, b = (traits.select(F.col("node").alias(x), F.col("m").alias(f"m_{x}"), F.col("prints").alias(f"p_{x}")) for x in "ab")
-        near = F.exists(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= radius), lambda x: x)
-        fits = F.least("m_a", "m_b") >= limit * F.greatest("m_a", "m_b")
-        return pairs.distinct().join(b, "b").join(a, "a").where(fits & near).select("a", "b")
-
-    def measured(pairs: DataFrame) -> DataFrame:
-        return staged(_measured(staged(candidates(pairs), "shingle-pairs"), sets, limit), "shingle-links")
-
-    def apart(links: DataFrame, which: DataFrame) -> DataFrame:
-        """The members of buckets that aren't connected yet, with the roots of their own and of the bucket's head."""
-        rooted = which.drop("root", "head_root").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = staged(rooted, "shingle-roots")
-        open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct("node", "root"))["root"].alias("head_root")).where("lo < hi")
-        return staged(rooted.join(open_.select("key", "head_root"), "key"), "shingle-apart")
-
-    def crossing(p: DataFrame, q: DataFrame) -> DataFrame:
-        q = q.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-        return p.join(q, "key").where(F.col("root") != F.col("root2")).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-
-    star = members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    found = measured(star.groupBy("b").agg(F.min("a").alias("a")))
-    left = apart(found, members)
-    found = found.unionByName(measured(left.where("root != head_root").select(F.col("head").alias("a"), F.col("node").alias("b"))))
-    left = apart(found, left.where("n > 2"))
-    small = left.where(F.col("n") <= cell)
-    found = found.unionByName(measured(crossing(small, small)))
-
-    def outsiders(which: DataFrame) -> DataFrame:
-        """(key, node, root, n_out) of the members outside the largest component of their bucket: of two members that are
-        apart, one is outside."""
-        sizes = which.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n_root"))
-        most = sizes.groupBy("key").agg(F.max_by("root", F.struct("n_root", "root")).alias("major"), (F.sum("n_root") - F.max("n_root")).alias("n_out"))
-        return which.join(most, "key").where("root != major").select("key", "node", "root", "n_out")
-
-    large, sweep, found_any = left.where(F.col("n") > cell), 0, True
-    while found_any and not large.isEmpty():
-        large = apart(found, large)
-        out = staged(outsiders(large), "shingle-outsiders")
-        few = out.where(F.col("n_out") <= cell).select("key", "node", "root")  # all that these buckets have left
-        many = large.join(out.where(F.col("n_out") > cell).select("key").distinct(), "key", "left_semi")
-        pivots = many.groupBy("key").agg(*(F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(sweep * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)))
-        pivots = pivots.select("key", F.explode(F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS))))).alias("p")).select("key", "p.*")
-        new = measured(crossing(large, few.unionByName(pivots)))
-        found, large, sweep, found_any = found.unionByName(new), many, sweep + 1, not new.isEmpty()
-    if not large.isEmpty():
-        large = apart(found, large)
-        out = staged(outsiders(large), "shingle-outsiders")
-        blocks = F.ceil(F.col("n_out") / cell)
-        for block in range(int(out.agg(F.max(blocks)).first()[0] or 0)):
-            turn = out.where(F.pmod(F.xxhash64("node"), blocks) == block).select("key", "node", "root")
-            found = found.unionByName(measured(crossing(large, turn)))
-    return found
+    """Links (a, b) between nodes (node, m, prints, first_id, h), all at or above the limit, that connect what all pairs within
+    the radius and at or above it connect."""
+    grouped = clusters(nodes, radius)
+    sizes = nodes.join(grouped, "node").groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / cell, F.sum("m") / CELL_RUNS)).alias("cells"))
+    members = staged(nodes.join(grouped, "node").join(sizes, "cluster").select("node", "prints", "cluster", "cells", F.col("first.doc_id").alias("doc_id"), F.col("first.h").alias("h")), "shingle-members")
+
+    def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(it, 128):
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists([shingles(t, width) for t in batch.column("text").to_pylist()])], ["node", "set"])
+
+    # one row of each node gives its set: rows that are equal in doc_id and text have equal ones
+    wanted = small(members.select("node", "doc_id", "h"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").join(wanted, ["doc_id", "h"]).select("node", "text")
+    found = texts.mapInArrow(sets, "node long, set array<long>")
+    # the cells of a cluster in twos; a lone cell by itself
+    mine = F.pmod(F.xxhash64("node"), F.col("cells"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1), lambda x: (x != mine) | (F.col("cells") == 1))
+    twos = F.explode(F.transform(others, lambda x: F.struct(F.least(x, mine).alias("i"), F.greatest(x, mine).alias("j"))))
+    dealt = members.join(found, "node").select("cluster", twos.alias("at"), "node", "prints", "set").select("cluster", "at.i", "at.j", "node", "prints", "set")
+
+    def join(rows: pa.Table) -> pa.Table:
+        values = lambda name: rows.column(name).combine_chunks()
+        nodes_of = values("node").to_numpy()
+        _, one = np.unique(nodes_of, return_index=True)
+        all_sets = values("set")
+        prints = values("prints").flatten().to_numpy().view(np.uint64).reshape(len(nodes_of), -1)[one]
+        pairs = forest([all_sets[k].values.to_numpy() for k in one.tolist()], prints, limit, radius)
+        ends = nodes_of[one][np.array(pairs, np.int64).reshape(-1, 2)]
+        return pa.table({"a": ends.min(axis=1), "b": ends.max(axis=1)})
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(join, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, limit: float = LIMIT, cell: int = CELL) -> DataFrame:
     """doc_id, h (the hash of the text) and root (the same for all of a component) of every row; doc_id is not null."""
     marked = staged(_marked(docs, width), "shingle-marks")
-    nodes = staged(marked.groupBy("node").agg(F.first("m").alias("m"), F.first("prints").alias("prints"), F.min("doc_id").alias("first_id")), "shingle-nodes")
+    nodes = staged(marked.groupBy("node").agg(F.first("m").alias("m"), F.first("prints").alias("prints"), F.min(F.struct("doc_id", "h")).alias("first")), "shingle-nodes")
     roots = staged(components(links_of(docs, nodes, width, limit, cell)), "shingle-components")
     return marked.join(roots, "node", "left").select("doc_id", "h", F.coalesce("root", "node").alias("root"))
 
 
 def keep_first(docs: DataFrame, **how: float) -> DataFrame:
     """One document of each component, that with the least (doc_id, hash of the text), with all its columns."""
-    known = docs.where("doc_id is not null")
-    heads = near_duplicates(known, **how).groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("row")).select("row.*")
-    return keep_rows(known, heads).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return keep_heads(docs, near_duplicates(docs.where("doc_id is not null"), **how))

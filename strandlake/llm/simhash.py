@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, keep_rows, restaged, staged, table
+from .common import drop_rows, in_slices, restaged, staged, table
 
 RADIUS = 4
 WIDTH = 4
@@ -97,35 +97,40 @@ def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """Links (a, b) between distinct fingerprints, each within the radius, that connect what all near pairs connect."""
+def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL, by: tuple[str, ...] = ()) -> DataFrame:
+    """Links (by, a, b) between distinct fingerprints, each within the radius, that connect what all near pairs connect.
+
+    fps has distinct rows of fp and the columns `by`, which tell apart fingerprints that aren't compared."""
     if radius < 2 or radius % 2:
         raise ValueError("the radius must be even and at least 2")
     masks = covering_masks(radius)
     tables = F.explode(F.array(*(F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks))))
-    rows = fps.select("fp", tables.alias("at")).select("at.t", "at.key", "fp")
-    sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
+    rows = fps.select(*by, "fp", tables.alias("at")).select(*by, "at.t", "at.key", "fp")
+    at = [*by, "t", "key"]
+    sizes = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
     sizes = staged(sizes.where((F.col("n") > 2) | _near(F.col("lo"), F.col("hi"), radius)), "simhash-buckets")
-    links = sizes.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    many = rows.join(sizes.where("n > 2").select("t", "key", "n"), ["t", "key"])
+    links = sizes.where("n = 2").select(*by, F.col("lo").alias("a"), F.col("hi").alias("b"))
+    many = rows.join(sizes.where("n > 2").select(*at, "n"), at)
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = [x for members in batch.column("members") for x in _forest(np.array(members.values), radius)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+            found = [(k, *x) for k, members in enumerate(batch.column("members")) for x in _forest(np.array(members.values), radius)]
+            whose = pa.array([x[0] for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(whose) for c in by), *(pa.array([x[k] for x in found], pa.int64()) for k in (1, 2))], [*by, "a", "b"])
 
-    cells = many.where(F.col("n") <= cell).groupBy("t", "key").agg(F.collect_list("fp").alias("members"))
-    links = links.unionByName(cells.select("members").mapInArrow(search, "a long, b long"))
+    cells = many.where(F.col("n") <= cell).groupBy(*at).agg(F.collect_list("fp").alias("members"))
+    kinds = "".join(f"{c} {fps.schema[c].dataType.simpleString()}, " for c in by)
+    links = links.unionByName(cells.select(*by, "members").mapInArrow(search, kinds + "a long, b long"))
 
     # beyond a cell: every member names the values within radius / 2 flips of its cleared bits
     cleared = F.array(*(F.lit(~m) for m in masks))
     flips = [0, *(sum(1 << b for b in c) for k in range(1, radius // 2 + 1) for c in combinations(range(64), k))]
     flips = F.array(*(F.lit(x - (1 << 64) if x >> 63 else x) for x in flips))
-    large = many.where(F.col("n") > cell).select("t", "key", "fp", F.element_at(cleared, F.col("t") + 1).alias("free"))
-    named = large.select("t", "key", "fp", F.explode(F.filter(flips, lambda x: x.bitwiseAND(F.col("free")) == x)).alias("flip"))
-    named = named.select("t", "key", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"), "fp")
-    centres = named.groupBy("t", "key", "middle").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    stars = named.join(centres, ["t", "key", "middle"]).where(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
+    large = many.where(F.col("n") > cell).select(*at, "fp", F.element_at(cleared, F.col("t") + 1).alias("free"))
+    named = large.select(*at, "fp", F.explode(F.filter(flips, lambda x: x.bitwiseAND(F.col("free")) == x)).alias("flip"))
+    named = named.select(*at, F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"), "fp")
+    centres = named.groupBy(*at, "middle").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    stars = named.join(centres, [*at, "middle"]).where(F.col("a") != F.col("fp")).select(*by, "a", F.col("fp").alias("b"))
     return links.unionByName(stars).distinct()
 
 
@@ -171,8 +176,17 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH, cell:
     known = docs.where("doc_id is not null")
     marked = staged(fingerprints(known.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"))), width), "simhash")
     roots = components(near_links(staged(marked.select("fp").distinct(), "simhash-values"), radius, cell))
-    grouped = marked.join(roots, marked.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root"))
-    return keep_rows(known, grouped.agg(F.min("doc_id").alias("row")).select("row.*")).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    grouped = marked.join(roots, marked.fp == roots.node, "left").select("doc_id.doc_id", "doc_id.h", F.coalesce("root", "fp").alias("root"))
+    return keep_heads(docs, grouped)
+
+
+def keep_heads(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """One row of docs for each root of grouped (doc_id, h, root): that with the least (doc_id, h); and those without a doc_id."""
+    rows = staged(grouped.groupBy("doc_id", "h", "root").agg(F.count(F.lit(1)).alias("n")), "groups")
+    heads = rows.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("head"))
+    told = staged(rows.join(heads, "root").select("doc_id", "h", "n", (F.struct("doc_id", "h") == F.col("head")).alias("first")).where("not first or n > 1"), "groups-told")
+    kept = drop_rows(docs.where("doc_id is not null"), told.where("not first"), told.where("first"))
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

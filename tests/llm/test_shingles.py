@@ -64,8 +64,8 @@ def plain_prints(text):
             h = ((h ^ (h >> 29)) * 0x94D049BB133111EB) % 2**64
             hashes[w] = h ^ (h >> 32)
         for bit in range(64):
-            vote = sum(math.sqrt(c) for w, c in counts.items() if hashes[w] >> bit & 1)
-            bits |= (2 * vote > sum(map(math.sqrt, counts.values())) + 1e-6) << bit
+            vote = sum(round(1024 * math.sqrt(c)) for w, c in counts.items() if hashes[w] >> bit & 1)
+            bits |= (2 * vote > sum(round(1024 * math.sqrt(c)) for c in counts.values())) << bit
         out.append(bits)
     return out
 
