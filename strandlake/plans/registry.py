@@ -41,7 +41,7 @@ def _turned(x: str) -> str:
 
 
 def _id(name: str, region: str, ordinal: str) -> str:
-    return f"concat('{PREFIX}-', replace({name}, ' ', '_'), '-{region}-S', lpad(cast({ordinal} as varchar), cast(greatest(5, length(cast({ordinal} as varchar))) as integer), '0'))"
+    return f"""concat('{PREFIX}-', replace({name}, ' ', '_'), '-{region}-S', lpad(cast({ordinal} as varchar), cast(greatest(5, length(cast({ordinal} as varchar))) as integer), '0'))"""
 
 
 # -- features ------------------------------------------------------------------------------------------------------
@@ -63,7 +63,8 @@ def selected_features(spark, d):
     return v.seqs(spark, d).select("seq_id", *fs.feature_columns(F.col("sequence"), ["GC_content", "CpG_count"]))
 
 
-@query(sql(f"select seq_id, translate(sequence, 'ACGT', 'TGCA') complement, {_rc('sequence')} reverse_complement, regexp_full_match(sequence, '[ACGTUN]*') valid, cast(length(sequence) as bigint) n from seqs", "seqs"))
+@query(sql(f"""select seq_id, translate(sequence, 'ACGT', 'TGCA') complement, {_rc('sequence')} reverse_complement, regexp_full_match(sequence, '[ACGTUN]*') valid, cast(length(sequence) as bigint) n
+  from seqs""", "seqs"))
 def complements(spark, d):
     s = F.col("sequence")
     return v.seqs(spark, d).select("seq_id", fs.complement(s).alias("complement"), fs.reverse_complement(s).alias("reverse_complement"), fs.valid_alphabet(s).alias("valid"), F.length(s).cast("long").alias("n"))
@@ -71,11 +72,21 @@ def complements(spark, d):
 
 # -- genes, loci and sites ------------------------------------------------------------------------------------------
 
-_PRE = {"pre": f"select g.gene_id, g.gene_name, g.chr, g.strand, g_start + o w_start, g_start + o + {{k}} - 1 w_end, o, {_turned('substring(c.sequence, cast(g_start + o as integer), {k})')} as sequence from (select *, unnest(range(0, g_end - g_start + 1 - {{k}} + 1)) o from gene) g join chrom c on c.chr = g.chr"}
+_PRE = {"pre": f"""select g.gene_id, g.gene_name, g.chr, g.strand, g_start + o w_start, g_start + o + {{k}} - 1 w_end, o, {_turned('substring(c.sequence, cast(g_start + o as integer), {k})')} as sequence
+  from (select *, unnest(range(0, g_end - g_start + 1 - {{k}} + 1)) o
+  from gene) g
+  join chrom c
+  on c.chr = g.chr"""}
 _PRE_SITES = f"select gene_id, {_id('gene_name', 'Premrna', 'o + 1')} site_id, chr, w_start as start, w_end as \"end\", strand, sequence from pre"
 _DISTINCT = {"dex": "select distinct e.gene_id, g.gene_name, e.chr, e_start, e_end, e.strand from exon e join gene g on g.gene_id = e.gene_id"}
-_EX = _DISTINCT | {"ex": f"select d.*, o, e_start + o w_start, e_start + o + {{k}} - 1 w_end, {_turned('substring(c.sequence, cast(e_start + o as integer), {k})')} as sequence from (select *, unnest(range(0, e_end - e_start + 1 - {{k}} + 1)) o from dex) d join chrom c on c.chr = d.chr"}
-_EX_SITES = f"select gene_id, {_id('gene_name', 'Exon', 'n')} site_id, chr, w_start as start, w_end as \"end\", strand, sequence from (select *, row_number() over (partition by gene_id order by e_start, e_end, o) n from ex)"
+_EX = _DISTINCT | {"ex": f"""select d.*, o, e_start + o w_start, e_start + o + {{k}} - 1 w_end, {_turned('substring(c.sequence, cast(e_start + o as integer), {k})')} as sequence
+  from (select *, unnest(range(0, e_end - e_start + 1 - {{k}} + 1)) o
+  from dex) d
+  join chrom c
+  on c.chr = d.chr"""}
+_EX_SITES = f"""select gene_id, {_id('gene_name', 'Exon', 'n')} site_id, chr, w_start as start, w_end as \"end\", strand, sequence
+  from (select *, row_number() over (partition by gene_id order by e_start, e_end, o) n
+  from ex)"""
 
 
 def _k(views: dict[str, str], k: int) -> dict[str, str]:
@@ -107,13 +118,19 @@ def distinct_exons(spark, d):
     return genome.distinct_exons(v.exon(spark, d), v.gene(spark, d))
 
 
-@query(sql(f"select d.gene_id, d.chr, e_start as start, e_end as \"end\", strand, {_turned('substring(c.sequence, cast(e_start as integer), cast(e_end - e_start + 1 as integer))')} as sequence from dex d join chrom c on c.chr = d.chr", "chrom", "gene", "exon", **_DISTINCT))
+@query(sql(f"""select d.gene_id, d.chr, e_start as start, e_end as \"end\", strand, {_turned('substring(c.sequence, cast(e_start as integer), cast(e_end - e_start + 1 as integer))')} as sequence
+  from dex d
+  join chrom c
+  on c.chr = d.chr""", "chrom", "gene", "exon", **_DISTINCT))
 def sequence_by_locus(spark, d):
     loci = genome.distinct_exons(v.exon(spark, d), v.gene(spark, d)).drop("gene_name")
     return genome.sequences_of(loci, v.tiles(spark, d), ["gene_id"], TILE)
 
 
-@query(sql(f"select gene_id, {_turned('substring(c.sequence, cast(g_start as integer), cast(g_end - g_start + 1 as integer))')} as sequence from gene g join chrom c on c.chr = g.chr", "chrom", "gene"))
+@query(sql(f"""select gene_id, {_turned('substring(c.sequence, cast(g_start as integer), cast(g_end - g_start + 1 as integer))')} as sequence
+  from gene g
+  join chrom c
+  on c.chr = g.chr""", "chrom", "gene"))
 def gene_sequences(spark, d):
     return genome.gene_sequences(v.gene(spark, d), v.tiles(spark, d), TILE)
 
@@ -142,7 +159,12 @@ def site_by_id(spark, d):
     return sites.site_by_id(own, name)
 
 
-@query(sql(f"select * from ({_PRE_SITES}) where strand = '+' union all select gene_id, concat(site_id, '-X') site_id, chr, start, \"end\", strand, sequence from ({_PRE_SITES}) where strand = '+' and site_id like '%1'", "chrom", "gene", **_k(_PRE, 16)))
+@query(sql(f"""select *
+  from ({_PRE_SITES})
+  where strand = '+'
+  union all select gene_id, concat(site_id, '-X') site_id, chr, start, \"end\", strand, sequence
+  from ({_PRE_SITES})
+  where strand = '+' and site_id like '%1'""", "chrom", "gene", **_k(_PRE, 16)))
 def add_sites(spark, d):
     own = _pre(spark, d).where("strand = '+'")
     return sites.add_sites(own, own.where(F.col("site_id").like("%1")).withColumn("site_id", F.concat("site_id", F.lit("-X"))))
@@ -159,20 +181,25 @@ def list_sites(spark, d):
     return sites.list_sites(_pre(spark, d))
 
 
-@query(sql("select site_id, transcript_id, t_start, t_end from (select distinct concat(transcript_id, ':0-16') site_id, transcript_id, 0::bigint t_start, 16::bigint t_end from exon)", "gene", "exon"))
+@query(sql("""select site_id, transcript_id, t_start, t_end
+  from (select distinct concat(transcript_id, ':0-16') site_id, transcript_id, 0::bigint t_start, 16::bigint t_end
+  from exon)""", "gene", "exon"))
 def equal_sites(spark, d):
     each = v.exon(spark, d).select("transcript_id", F.lit(0).cast("long").alias("t_start"), F.lit(16).cast("long").alias("t_end"))
     each = each.withColumn("site_id", fs.transcript_site_id(F.col("transcript_id"), F.col("t_start"), F.col("t_end")))
     return sites.distinct_transcript_sites(each).select("site_id", "transcript_id", "t_start", "t_end")
 
 
-@query(sql("select concat(chr, ':', cast(e_start as varchar), '-', cast(e_end as varchar), ',', strand) site_id, cast(e_end - e_start + 1 as bigint) n from dex", "gene", "exon", **_DISTINCT))
+@query(sql("""select concat(chr, ':', cast(e_start as varchar), '-', cast(e_end as varchar), ',', strand) site_id, cast(e_end - e_start + 1 as bigint) n
+  from dex""", "gene", "exon", **_DISTINCT))
 def locus_ids(spark, d):
     e = genome.distinct_exons(v.exon(spark, d), v.gene(spark, d))
     return e.select(fs.locus_id(F.col("chr"), F.col("start"), F.col("end"), F.col("strand")).alias("site_id"), sites.site_length(e).cast("long").alias("n"))
 
 
-@query(sql("select transcript_id, o::bigint t_start, (o + 50)::bigint t_end, substring(sequence, cast(o + 1 as integer), 50) as sequence, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 50 as varchar)) site_id from (select concat('T', cast(seq_id as varchar)) transcript_id, sequence, unnest(range(0, 64 - 50 + 1)) o from seqs)", "seqs"))
+@query(sql("""select transcript_id, o::bigint t_start, (o + 50)::bigint t_end, substring(sequence, cast(o + 1 as integer), 50) as sequence, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 50 as varchar)) site_id
+  from (select concat('T', cast(seq_id as varchar)) transcript_id, sequence, unnest(range(0, 64 - 50 + 1)) o
+  from seqs)""", "seqs"))
 def transcript_sites(spark, d):
     t = v.seqs(spark, d).select(F.concat(F.lit("T"), F.col("seq_id").cast("string")).alias("transcript_id"), "sequence")
     return sites.transcript_sites(t, 50).withColumn("site_id", fs.transcript_site_id(F.col("transcript_id"), F.col("t_start"), F.col("t_end")))
@@ -197,7 +224,11 @@ def create_target(spark, d):
     return sites.create_target(v.gene(spark, d), v.exon(spark, d), v.tiles(spark, d), 16, "exonic_only", gene_ids=["G00000001", "G00000002", "G00000005"], prefix=PREFIX, size=TILE)
 
 
-_OWNED = "select distinct gene_id, concat('T', cast(seq_id as varchar)) transcript_id, sequence from seqs join exon on exon.transcript_id = concat('T', cast(seq_id as varchar)) where gene_id <= 'G00000099'"
+_OWNED = """select distinct gene_id, concat('T', cast(seq_id as varchar)) transcript_id, sequence
+  from seqs
+  join exon
+  on exon.transcript_id = concat('T', cast(seq_id as varchar))
+  where gene_id <= 'G00000099'"""
 
 
 @query(sql("""select gene_id, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 16 as varchar)) site_id, transcript_id, o::bigint t_start, (o + 16)::bigint t_end,
@@ -215,7 +246,9 @@ def create_transcript_target(spark, d):
 
 def _windows(name: str, source: str, k: int, ident: str = "", turned: bool = False) -> dict[str, str]:
     kmer = f"substring(sequence, cast(i + 1 as integer), {k})"
-    return {name: f"select {ident}{', ' * bool(ident)}i + 1 pos, {f'least({kmer}, {_rc(kmer)})' if turned else kmer} kmer from (select *, unnest(range(0, length(sequence) - {k} + 1)) i from {source})"}
+    return {name: f"""select {ident}{', ' * bool(ident)}i + 1 pos, {f'least({kmer}, {_rc(kmer)})' if turned else kmer} kmer
+  from (select *, unnest(range(0, length(sequence) - {k} + 1)) i
+  from {source})"""}
 
 
 def _counts(name: str, windows: str) -> dict[str, str]:
@@ -246,7 +279,8 @@ def canonical_kmers(spark, d):
     return kmers.count_kmers(v.seqs(spark, d), 6, ci=3, cx=60, cs=20)
 
 
-_HPC = {"h": "select seq_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(sequence, 'A+', 'A', 'g'), 'C+', 'C', 'g'), 'G+', 'G', 'g'), 'T+', 'T', 'g') as sequence from seqs"}
+_HPC = {"h": """select seq_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(sequence, 'A+', 'A', 'g'), 'C+', 'C', 'g'), 'G+', 'G', 'g'), 'T+', 'T', 'g') as sequence
+  from seqs"""}
 
 
 @query(sql("select kmer, cnt from c where cnt >= 2", "seqs", **_HPC, **_windows("w", "h", 7), **_counts("c", "w")))
@@ -267,7 +301,9 @@ def estimated_totals(spark, d):
     return kmers.estimate_totals(v.seqs(spark, d), 7)
 
 
-@query(sql("select cast(sum(cnt) as bigint) total_kmers, count(*) unique_kmers, count(*) filter (cnt < 2) below_min, count(*) filter (cnt > 9) above_max, count(*) filter (cnt between 2 and 9) counted_kmers, (select count(*) from seqs) reads from c", "seqs", **_windows("w", "seqs", 8, turned=True), **_counts("c", "w")))
+@query(sql("""select cast(sum(cnt) as bigint) total_kmers, count(*) unique_kmers, count(*) filter (cnt < 2) below_min, count(*) filter (cnt > 9) above_max, count(*) filter (cnt between 2 and 9) counted_kmers, (select count(*)
+  from seqs) reads
+  from c""", "seqs", **_windows("w", "seqs", 8, turned=True), **_counts("c", "w")))
 def count_summary(spark, d):
     return kmers.count_summary(v.seqs(spark, d), 8, 2, 9)
 
@@ -302,7 +338,9 @@ def kmers_reverse_subtract_counts(spark, d):
     return kmers.reverse_subtract_counts(_a(spark, d), _b(spark, d))
 
 
-@query(sql(" union all ".join(f"select '{m}' mode_name, kmer, {e} cnt from ab where a > 0 and b > 0{' and a > b' if m == 'diff' else ''}" for m, e in (("min", "least(a, b)"), ("max", "greatest(a, b)"), ("sum", "a + b"), ("diff", "a - b"), ("left", "a"), ("right", "b"))), "seqs", "reads", **_BOTH))
+@query(sql(" union all ".join(f"""select '{m}' mode_name, kmer, {e} cnt
+  from ab
+  where a > 0 and b > 0{' and a > b' if m == 'diff' else ''}""" for m, e in (("min", "least(a, b)"), ("max", "greatest(a, b)"), ("sum", "a + b"), ("diff", "a - b"), ("left", "a"), ("right", "b"))), "seqs", "reads", **_BOTH))
 def counter_modes(spark, d):
     from functools import reduce
 
@@ -317,7 +355,16 @@ def chained_outputs(spark, d):
     return kmers.union_of(both).select(F.lit("union").alias("output"), "*").unionByName(kmers.intersect_of(both).select(F.lit("intersect").alias("output"), "*"))
 
 
-@query(sql("select a.kmer, least(a.cnt, u.cnt) cnt from a join (select kmer, sum(cnt) cnt from (select * from b union all select * from a where cnt > 60) group by kmer) u on a.kmer = u.kmer", "seqs", "reads", **_AB).replace("sum(cnt) cnt", "cast(sum(cnt) as bigint) cnt"))
+@query(sql("""select a.kmer, least(a.cnt, u.cnt) cnt
+  from a
+  join (select kmer, sum(cnt) cnt
+  from (select *
+  from b
+  union all select *
+  from a
+  where cnt > 60)
+  group by kmer) u
+  on a.kmer = u.kmer""", "seqs", "reads", **_AB).replace("sum(cnt) cnt", "cast(sum(cnt) as bigint) cnt"))
 def composed_expression(spark, d):
     a = _a(spark, d)
     return kmers.intersect(a, kmers.union(_b(spark, d), a.where("cnt > 60")))
@@ -375,17 +422,36 @@ def _valid(spark, d):
     return kmers.count_kmers(v.seqs(spark, d), 6, ci=62, cs=1_000_000_000)
 
 
-@query(sql("select r.* from reads r join (select read_id, count(*) filter (hit) n from hits group by read_id) h on h.read_id = r.read_id where n between 8 and 20", "seqs", "reads", **_HITS))
+@query(sql("""select r.*
+  from reads r
+  join (select read_id, count(*) filter (hit) n
+  from hits
+  group by read_id) h
+  on h.read_id = r.read_id
+  where n between 8 and 20""", "seqs", "reads", **_HITS))
 def filter_reads(spark, d):
     return reads.filter_reads(v.reads(spark, d), _valid(spark, d), 6, 8, 20)
 
 
-@query(sql("select r.* from reads r join (select read_id, cast(count(*) filter (hit) as double) / count(*) n from hits group by read_id) h on h.read_id = r.read_id where n between 0.25 and 0.5", "seqs", "reads", **_HITS))
+@query(sql("""select r.*
+  from reads r
+  join (select read_id, cast(count(*) filter (hit) as double) / count(*) n
+  from hits
+  group by read_id) h
+  on h.read_id = r.read_id
+  where n between 0.25 and 0.5""", "seqs", "reads", **_HITS))
 def filter_reads_by_share(spark, d):
     return reads.filter_reads(v.reads(spark, d), _valid(spark, d), 6, 0.25, 0.5)
 
 
-@query(sql("select r.read_id, case when bad is null then sequence when bad = 1 then '' else substring(sequence, 1, cast(bad + 4 as integer)) end as sequence from reads r left join (select read_id, min(pos) bad from hits where not hit group by read_id) h on h.read_id = r.read_id", "seqs", "reads", **_HITS))
+@query(sql("""select r.read_id, case when bad is null then sequence when bad = 1 then '' else substring(sequence, 1, cast(bad + 4 as integer)) end as sequence
+  from reads r
+  left
+  join (select read_id, min(pos) bad
+  from hits
+  where not hit
+  group by read_id) h
+  on h.read_id = r.read_id""", "seqs", "reads", **_HITS))
 def trim_reads(spark, d):
     return reads.trim_reads(v.reads(spark, d), _valid(spark, d), 6)
 
@@ -491,7 +557,13 @@ def python_analysis(spark, d):
 # -- genome-wide joins -----------------------------------------------------------------------------------------------
 
 
-@query(sql(f"select s.*, loci, array_to_string(starts, ',') starts from ({_PRE_SITES}) s join (select gene_id, sequence, cast(count(distinct w_start) as bigint) loci, list_sort(list(distinct w_start)) starts from pre group by gene_id, sequence having count(distinct w_start) > 1) g on g.gene_id = s.gene_id and g.sequence = s.sequence", "chrom", "gene", **_k(_PRE, 6)))
+@query(sql(f"""select s.*, loci, array_to_string(starts, ',') starts
+  from ({_PRE_SITES}) s
+  join (select gene_id, sequence, cast(count(distinct w_start) as bigint) loci, list_sort(list(distinct w_start)) starts
+  from pre
+  group by gene_id, sequence
+  having count(distinct w_start) > 1) g
+  on g.gene_id = s.gene_id and g.sequence = s.sequence""", "chrom", "gene", **_k(_PRE, 6)))
 def repeated_sites(spark, d):
     found = offtargets.repeated_sites(_pre(spark, d, 6))
     return found.withColumn("starts", F.array_join(F.col("starts").cast("array<string>"), ","))
@@ -508,11 +580,18 @@ def exact_off_targets(spark, d):
 
 _NEAR = _windows("gw", "chrom", 14, "chr") | {"q": f"""select *, '+' hit_strand, sequence query from wanted union all select *, '-' hit_strand, {_rc('sequence')} query from wanted"""}
 _APART = "join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 13 <= g.g_end)"
-_NEAR_HITS = f"select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches from q join gw on hamming(q.query, gw.kmer) <= 2 {_APART}"
+_NEAR_HITS = f"""select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches
+  from q
+  join gw
+  on hamming(q.query, gw.kmer) <= 2 {_APART}"""
 _HUNDREDTH = {"wanted": "select * from ps where cast(regexp_extract(site_id, '([0-9]+)$', 1) as bigint) % 100 = 0"}
 _SUMMARY = """select n.gene_id, n.site_id, count(*) hits, count(distinct n.chr) chromosomes, any_value(coalesce(t.genes, 0)) genes, count(*) filter (mismatches = 0) mm0,
   count(*) filter (mismatches = 1) mm1, count(*) filter (mismatches = 2) mm2 from n left join t on t.gene_id = n.gene_id and t.site_id = n.site_id group by n.gene_id, n.site_id"""
-_TOUCHED = {"t": "select n.gene_id, n.site_id, count(distinct o.gene_id) genes from n join gene o on o.chr = n.chr and n.pos <= o.g_end and o.g_start <= n.pos + 13 group by n.gene_id, n.site_id"}
+_TOUCHED = {"t": """select n.gene_id, n.site_id, count(distinct o.gene_id) genes
+  from n
+  join gene o
+  on o.chr = n.chr and n.pos <= o.g_end and o.g_start <= n.pos + 13
+  group by n.gene_id, n.site_id"""}
 
 
 def _near(spark, d, wanted: DataFrame):
@@ -538,8 +617,15 @@ def off_target_summary(spark, d):
 # every site against every window; the SQL, too, finds candidates by parts of the strings
 _PARTS = ((1, 3), (4, 4), (8, 3), (11, 4))
 _SHARED = [" and ".join(f"substring(query, {a}, {n}) = substring(kmer, {a}, {n})" for a, n in pair) for pair in combinations(_PARTS, 2)]
-_ALL_NEAR = {"wanted": "select * from ps", **_NEAR, "qd": "select distinct query from q", "near": " union ".join(f"select query, chr, pos, kmer from qd join gw on {on} where hamming(query, kmer) <= 2" for on in _SHARED)}
-_ALL_HITS = f"select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches from q join near gw on gw.query = q.query {_APART}"
+_ALL_NEAR = {"wanted": "select * from ps", **_NEAR, "qd": "select distinct query from q", "near": " union ".join(f"""select query, chr, pos, kmer
+  from qd
+  join gw
+  on {on}
+  where hamming(query, kmer) <= 2""" for on in _SHARED)}
+_ALL_HITS = f"""select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches
+  from q
+  join near gw
+  on gw.query = q.query {_APART}"""
 
 
 @query(sql(_ALL_HITS, "chrom", "gene", **_k(_PRE, 14), ps=_PRE_SITES, **_ALL_NEAR))
@@ -560,7 +646,9 @@ def _loci(spark, d):
     return o.select(F.col("o_orderkey").cast("long").alias("hit_id"), F.concat(F.lit("chr"), (F.col("o_custkey") % n).cast("string")).alias("chr"), start.alias("start"), (start + 15).alias("end"))
 
 
-_LOCI = {"loci": "select o_orderkey::bigint hit_id, concat('chr', cast(o_custkey % (select count(*) from supplier) as varchar)) chr, cast(1 + o_orderkey * 13 % 1000 as bigint) as start, cast(16 + o_orderkey * 13 % 1000 as bigint) as \"end\" from orders"}
+_LOCI = {"loci": """select o_orderkey::bigint hit_id, concat('chr', cast(o_custkey % (select count(*)
+  from supplier) as varchar)) chr, cast(1 + o_orderkey * 13 % 1000 as bigint) as start, cast(16 + o_orderkey * 13 % 1000 as bigint) as \"end\"
+  from orders"""}
 
 
 @query(sql("""select h.*, case when hit_id in (select hit_id from loci l join exon e on e.chr = l.chr and l.start <= e.e_end and e.e_start <= l."end") then 'exonic'
@@ -569,7 +657,10 @@ def hit_locations(spark, d):
     return offtargets.classify_hits(_loci(spark, d), v.gene(spark, d), v.exon(spark, d), 128)
 
 
-@query(sql("select hit_id, l.chr, l.start, (select max(struct_pack(s := g_start, g := gene_id)) from gene g where g.chr = l.chr and g.g_start <= l.start).g gene_id from loci l", "gene", **_LOCI))
+@query(sql("""select hit_id, l.chr, l.start, (select max(struct_pack(s := g_start, g := gene_id))
+  from gene g
+  where g.chr = l.chr and g.g_start <= l.start).g gene_id
+  from loci l""", "gene", **_LOCI))
 def nearest_genes(spark, d):
     return offtargets.nearest_gene(_loci(spark, d), v.gene(spark, d), 128)
 
