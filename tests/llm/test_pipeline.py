@@ -1,10 +1,11 @@
 """The pipeline's stages, each held against what the one before has kept."""
 
 import corpus_pipeline
-from strandlake.llm import decontaminate, quality_rank, simhash
+from strandlake.llm import decontaminate, quality_rank
 from strandlake.llm.common import staged, table
 
-from .test_text_operators import base_secrets, plain_fingerprint
+from .test_shingles import plain_heads, plain_kept
+from .test_text_operators import base_secrets, odd_texts
 
 D = "/root/testdata/sf0.001"
 
@@ -23,14 +24,9 @@ def test_stages_on_the_smallest_tables(spark):
     score = {r.doc_id: r.score for r in quality_rank.score_documents(table(spark, D, "documents"), model).collect()}
     assert seen["quality"].keys() == {i for i, s in score.items() if s >= quality_rank.CUT}
 
-    fps = sorted((i, plain_fingerprint(r.text, 5)) for i, r in seen["quality"].items())
-    group = {i: i for i, _ in fps}
-    for i, a in fps:
-        for j, b in fps:
-            if j < i and (a ^ b).bit_count() <= simhash.RADIUS and group[i] != group[j]:
-                low, high = sorted((group[i], group[j]))
-                group = {x: low if g == high else g for x, g in group.items()}
-    assert seen["near_duplicates"].keys() == set(group.values())
+    # what brute force keeps where pairs within the radius of a word fingerprint are measured, which here is all that are alike
+    rows = [(i, r.text) for i, r in sorted(seen["quality"].items())]
+    assert seen["near_duplicates"].keys() == plain_kept(rows) == plain_heads(rows)
 
     index = decontaminate.Index([tuple(r) for r in table(spark, D, "benchmark").select("item_id", "text").collect()])
     leaks = {i for i, r in seen["near_duplicates"].items() if index.search(r.text)}
@@ -45,3 +41,19 @@ def test_stages_on_the_smallest_tables(spark):
 def test_run_is_the_stages(spark):
     got = corpus_pipeline.run(spark, D)
     assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens"] and got.count() > 100
+
+
+def test_stages_take_odd_rows(spark):
+    rows = [(i, t, "en", "s", 0, 7, "x", "y") for i, t in [*odd_texts(), *odd_texts()[:3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, node int, h string, ids string")
+    for frame, few in ((docs, False), (docs.limit(0), True)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            got = stage(spark, frame, D)
+            n = got.count()
+            assert k == 4 or got.columns == docs.columns
+            assert n == 0 if few else n == len(rows) if k > 1 else 0 <= n <= len(rows)
+            if k == 1 and not few:
+                # null, empty and blank texts are alike; equal rows are one; unlike texts under one id stay, and rows without an id
+                kept = [(r.doc_id, r.text) for r in got.collect()]
+                assert kept.count((None, "no id")) == 1 and kept.count((None, None)) == 1 and (6, "same id, other text") in kept
+                assert len([x for x in kept if x[0] is not None and not (x[1] or "").strip(" \t\n\r\x0b\x0c")]) == 1
