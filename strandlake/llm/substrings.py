@@ -22,6 +22,8 @@ whatever their names; doc_id is an integer.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -81,7 +83,7 @@ class Part:
         self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
         self.first = np.concatenate(([0], np.cumsum(self.sizes)))
         n = int(self.first[-1])
-        h = np.fromiter((_HASHES[w] for words in self.words for w in words), np.uint64, n)
+        h = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(self.words)), np.uint64, n)
         doc = np.repeat(np.arange(len(ids)), self.sizes)
         inside = np.arange(max(n - window + 1, 0))
         inside = inside[doc[inside] == doc[inside + window - 1]] if len(inside) else inside
@@ -101,7 +103,9 @@ class Part:
     def firsts(self) -> tuple[np.ndarray, np.ndarray]:
         """Windows that are the first of their hash in this part, and those with an earlier equal (places may tie)."""
         key = self.ids[self.doc]
-        order = np.lexsort((self.start, key, self.hash))
+        # windows stand in order of their places, but for rows that share an id
+        shared = bool((self.ids[1:] == self.ids[:-1]).any())
+        order = np.lexsort((self.start, key, self.hash)) if shared else np.argsort(self.hash, kind="stable")
         h, d, s = self.hash[order], key[order], self.start[order]
         new = np.concatenate(([True], h[1:] != h[:-1]))[: len(h)]
         head = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0)) if len(h) else np.zeros(0, int)
