@@ -5,6 +5,7 @@ unit numbers, each with its greatest impact). An impact is the word's BM25 weigh
 itself, so a passage that has all of a unit's words scores 1. Document frequencies, the number of units and their mean
 length are counted in Spark over the whole benchmark, so scores don't depend on how the index is dealt. Every training
 passage (LENGTH words, a new one each STRIDE, to the end of the text) is a query:
+  0. block maxima, summed for all strides of a text at once, rule out passages that reach the threshold in no block;
   1. words whose greatest impacts together stay below the threshold lift no unit there alone, so only blocks that hold
      another word of the passage can have a pivot;
   2. of those, blocks whose summed block maxima stay below the threshold are passed over, their postings unread;
@@ -33,6 +34,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 from math import fsum
 
 import numpy as np
@@ -129,6 +131,31 @@ class Index:
         low, size = at[ids], at[ids + 1] - at[ids]
         return np.repeat(low - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
 
+    def _reach(self, ids: np.ndarray) -> np.ndarray:
+        """For each passage the greatest sum of block maxima of its distinct words: a score that no unit exceeds. Counted for
+        all strides of a text at once; a passage has two, less what is in both."""
+        n, blocks, words = max(1, -(-len(ids) // STRIDE)), max(1, self.blocks), len(self.word)
+        reach = np.zeros(n)
+        if not words:
+            return reach
+        place = np.flatnonzero(ids >= 0)
+        key = np.unique(place // STRIDE * words + ids[place])
+        both = key[np.isin(key + words, key, assume_unique=True)]  # also in the next stride
+
+        def summed(key: np.ndarray, low: int, rows: int) -> np.ndarray:
+            i, j = np.searchsorted(key, (low * words, (low + rows) * words))
+            stride, word = np.divmod(key[i:j], words)
+            at = self._spread(self.top_at, word)
+            own = np.repeat(stride - low, self.top_at[word + 1] - self.top_at[word])
+            return np.bincount(own * blocks + self.top_block[at], self.top_impact[at], rows * blocks).reshape(rows, blocks)
+
+        step = max(1, (1 << 17) // blocks)  # strides at once: bounded, however long the text or large the index
+        for low in range(0, n, step):
+            rows = min(step, n - low)
+            bound = summed(key, low, rows + 1)
+            reach[low : low + rows] = (bound[:-1] + bound[1:] - summed(both, low, rows)).max(axis=1)
+        return reach
+
     def query(self, ids: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """All units that score threshold or more for the distinct words of a passage, by unit."""
         ids = ids[np.argsort(self.top_of_word[ids], kind="stable")]
@@ -181,13 +208,11 @@ class Index:
     def search(self, text: str | None, threshold: float = THRESHOLD, verify: float = VERIFY) -> list[tuple[int, float, float, float]]:
         """(item id, score, question overlap, answer overlap) of the items that a document has."""
         words = words_of(text)
-        get = self.word.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.word.get, words, repeat(-1)), np.int64, len(words))
         found: dict[int, tuple[float, int, int]] = {}
-        known = np.where(ids >= 0, self.top_of_word[ids], 0.0) if len(self.word) else np.zeros(len(ids))
-        total = np.concatenate(([0.0], np.cumsum(known)))
+        can_reach = self._reach(ids) >= threshold - _EPS
         for at in range(0, max(1, len(words) - LENGTH + STRIDE), STRIDE):
-            if total[min(at + LENGTH, len(words))] - total[at] < threshold - _EPS:  # even with repeats the words don't reach it
+            if not can_reach[at // STRIDE]:
                 continue
             own = np.unique(ids[at : at + LENGTH])
             for u, score in self.query(own[own >= 0], threshold):
