@@ -147,7 +147,7 @@ def clusters(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     shared = staged(each.groupBy("j", "fp").agg(F.min("node").alias("head"), F.max("node").alias("other")), "print-values")
     # every fingerprint becomes 31 rows, so tasks begin with few
     values = shared.select("j", "fp")
-    near = near_links(values.repartition(max(1, values.count() // SPREAD)), radius, by=("j",))
+    near = near_links(values.repartition(max(1, values.count() // SPREAD)), radius, by=("j",), star=True)
     head = shared.select("j", F.col("fp"), "head")
     pairs = near.join(head.withColumnsRenamed({"fp": "a", "head": "x"}), ["j", "a"]).join(head.withColumnsRenamed({"fp": "b", "head": "y"}), ["j", "b"]).select("x", "y")
     equal = each.join(shared.where("head < other"), ["j", "fp"]).where("node != head").select(F.col("head").alias("x"), F.col("node").alias("y"))

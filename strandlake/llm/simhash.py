@@ -84,21 +84,24 @@ def _near(a: Column, b: Column, radius: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= radius
 
 
-def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that join all members of a cell who are reachable over near pairs: breadth first from each unseen member."""
+def _forest(values: np.ndarray, radius: int, star: bool = False) -> list[tuple[int, int]]:
+    """Links that join all members of a cell who are reachable over near pairs: breadth first from each unseen member. As a
+    star they all begin at that member, the least one, so that buckets with the same members give the same links."""
     links, left = [], np.sort(values)
     while len(left) > 1:
         front, left = left[:1], left[1:]
+        least = int(front[0])
         while len(front) and len(left):
             x, front = front[0], front[1:]
             near = np.bitwise_count(left.view(np.uint64) ^ x.view(np.uint64)) <= radius
-            links += [(int(x), int(y)) for y in left[near]]
+            links += [(least if star else int(x), int(y)) for y in left[near]]
             front, left = np.concatenate((front, left[near])), left[~near]
     return links
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL, by: tuple[str, ...] = ()) -> DataFrame:
-    """Links (by, a, b) between distinct fingerprints, each within the radius, that connect what all near pairs connect.
+def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL, by: tuple[str, ...] = (), star: bool = False) -> DataFrame:
+    """Links (by, a, b) between distinct fingerprints that connect what all near pairs connect: each within the radius, or
+    as stars (see _forest), which are fewer.
 
     fps has distinct rows of fp and the columns `by`, which tell apart fingerprints that aren't compared."""
     if radius < 2 or radius % 2:
@@ -114,7 +117,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL, by: tuple
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = [(k, *x) for k, members in enumerate(batch.column("members")) for x in _forest(np.array(members.values), radius)]
+            found = [(k, *x) for k, members in enumerate(batch.column("members")) for x in _forest(np.array(members.values), radius, star)]
             whose = pa.array([x[0] for x in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(whose) for c in by), *(pa.array([x[k] for x in found], pa.int64()) for k in (1, 2))], [*by, "a", "b"])
 
