@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import filter_audit
+from . import filter_audit, neighbours
 from .decontaminate import op7_decontaminate
 from .filter_audit import op11_filter_audit
 from .html_text import op3_html_text
+from .importance import op12_resample
+from .neighbours import op13_neighbours
 from .pieces import op8_pieces
 from .pii import op2_pii
 from .quality_rank import op1_quality_rank
@@ -19,9 +21,10 @@ from .secrets import op10_secrets
 from .simhash import op4_simhash
 from .substrings import op9_substrings
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op3_html_text, op4_simhash, op5_quotes, op6_quality_rules, op7_decontaminate, op8_pieces, op9_substrings, op10_secrets, op11_filter_audit)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_rank, op2_pii, op3_html_text, op4_simhash, op5_quotes, op6_quality_rules, op7_decontaminate, op8_pieces, op9_substrings, op10_secrets, op11_filter_audit, op12_resample, op13_neighbours)}
 ORACLE_SQL: dict[str, str] = {
     "op11_filter_audit": filter_audit.SQL,
+    "op13_neighbours": neighbours.SQL,
     "op9_substrings": r"""with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
       windows as (select doc_id, s, array_to_string(list_slice(ws, s, s + 19), ' ') k from (select doc_id, ws, unnest(range(1, len(ws) - 18)) s from w)),
       firsts as (select k, min(struct_pack(d := doc_id, s := s)) f from windows group by k having count(*) > 1),

@@ -1,0 +1,110 @@
+"""Importance resampling: the query and odd rows against plain Python; codes of joined words; ranks over many ranges."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strandlake.llm import importance
+from strandlake.llm.common import table
+
+D = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, line string, bucket string, part string, score string, rank string"
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def plain(docs, target):
+    def found(t):
+        w = words(t)
+        return Counter(zlib.crc32(" ".join(w[i : i + n]).encode()) % 10000 for n in (1, 2, 3) for i in range(len(w) - n + 1))
+
+    s, t = Counter(), Counter()
+    for _, x in docs:
+        s.update(found(x))
+    for x in target:
+        t.update(found(x))
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (n_s + 10000) / ((s[b] + 1) * (n_t + 10000)))) for b in range(10000)]
+    rows = []
+    for i, x in docs:
+        c = found(x)
+        weight = sum(gain[b] * n for b, n in c.items())
+        h = int(sha256(f"42:{i}".encode()).hexdigest()[:8], 16)
+        rows.append([i, sum(c.values()), weight, None if i is None else weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(words(x))])
+    able = sorted((r for r in rows if r[5] >= 20 and r[0] is not None), key=lambda r: (-r[3], r[0], r[2], r[1]))
+    for k, r in enumerate(able[: 5 * len(able) // 100], 1):
+        r[4] = k
+    return Counter(map(tuple, rows))
+
+
+def got(df):
+    return Counter((r.doc_id, r.n_features, r.weight, r.score, r["rank"], r.n_words) for r in df.collect())
+
+
+def test_query_by_brute_force(spark):
+    docs = [tuple(r) for r in table(spark, D, "documents").select("doc_id", "text").collect()]
+    assert got(importance.op12_resample(spark, D)) == plain(docs, [r.text for r in table(spark, D, "benchmark").collect()])
+
+
+def odd_docs():
+    rng = random.Random(3)
+    vocabulary = ["Ab", "c1", "é", "ÀÉ", "x" * 70, "y" * 300, "the", "7", " wide", "a\x00b", "z_z", "Q'q", "ß"]
+    gaps = [" ", "\n", "\n\n", " \n, ", "\r\n", "\t", "."]
+    texts = ["".join(rng.choice(vocabulary) + rng.choice(gaps) for _ in range(rng.choice([0, 1, 2, 3, 19, 20, 60, 200]))) for _ in range(150)]
+    docs = [(i if i % 11 else None, t) for i, t in enumerate(texts)] + [(500, None), (501, ""), (502, "\n \n"), (7, texts[60]), (7, texts[61])]
+    return docs + docs[40:50], [texts[3], None, "the the c1\nÀÉ é", ""]
+
+
+@pytest.mark.parametrize("block", [3, 1 << 18])
+def test_odd_rows(spark, block, monkeypatch):
+    docs, target = odd_docs()
+    # in this process, as Spark's workers do not see the patch
+    monkeypatch.setattr(importance, "BLOCK", block)
+    monkeypatch.setattr(importance, "PIECE", 8 if block == 3 else 1 << 22)
+    for _, t in docs:
+        lines = list(importance.lines_of(t))
+        assert b" ".join(lines).decode().split(" ") == (words(t) or [""])
+        hasher, w = importance.Hasher(), words(t)
+        found = Counter(zip(*np.unique(np.concatenate([b for x in importance.features([(5, (t or "").encode().translate(importance._LOWER))], hasher) for _, b in x] or [np.zeros(0, int)]), return_counts=True), strict=True))
+        want = Counter(zlib.crc32(" ".join(w[i : i + n]).encode()) % 10000 for n in (1, 2, 3) for i in range(len(w) - n + 1))
+        assert {int(k[0]): int(k[1]) for k in found} == dict(want)
+        inner = sum((Counter(zlib.crc32(b" ".join(x.split()[i : i + n])) for n in (1, 2, 3) for i in range(len(x.split()) - n + 1)) for x in lines), Counter())
+        inner.update(map(zlib.crc32, importance.crossing(lines)))
+        assert inner == Counter(zlib.crc32(" ".join(w[i : i + n]).encode()) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+
+
+def test_odd_tables(spark):
+    docs, target = odd_docs()
+    frame = spark.createDataFrame([(i, t, "l", "3", "p", "9", "1") for i, t in docs], DOCS)
+    texts = spark.createDataFrame([(1, t) for t in target], "item_id long, text string")
+    assert got(importance.resample(frame, texts)) == plain(docs, target)
+    assert got(importance.resample(frame, texts.limit(0))) == plain(docs, [])
+    assert importance.resample(frame.limit(0), texts).count() == 0
+
+
+def test_long_text(spark):
+    text = " ".join(f"w{k % 1000}" for k in range(300_000)) + "\n" + "v" * 200_000
+    docs = [(1, text), (2, "a b"), *((i, f"w{i} " * 25) for i in range(3, 60))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(importance.resample(frame, spark.createDataFrame([("w1 w2",)], "text string"))) == plain(docs, ["w1 w2"])
+
+
+def test_ranks_over_many_ranges(spark):
+    rng = random.Random(8)
+    rows = [(i, 20 if i % 7 else 5, 3, rng.choice([0, 5, 10**9]), rng.choice([-(10**12), 0, 0, 7, rng.randrange(1000)])) for i in range(2000)]
+    scored = spark.createDataFrame(rows, "doc_id long, n_words long, n_features long, weight long, score long")
+    able = sorted((r for r in rows if r[1] >= 20), key=lambda r: (-r[4], r[0]))
+    found = {r.doc_id: r["rank"] for r in importance.ranked(scored, 40).collect() if r["rank"]}
+    assert len(rows) == importance.ranked(scored, 40).count()
+    assert found == {r[0]: k for k, r in enumerate(able[: 40 * len(able) // 100], 1)}
+    assert importance.ranked(scored.where(F.col("doc_id") < 10), 5).where("rank is not null").count() == 0
