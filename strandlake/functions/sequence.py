@@ -96,8 +96,12 @@ def two_bit(kmer: Column) -> Column:
 
 
 def from_two_bit(code: Column, k: int) -> Column:
-    """The k-mer of a code."""
-    return F.translate(F.lpad(F.conv(code.cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+    """The k-mer of a code, four bases at a time."""
+    fours = F.array(*(F.lit("".join("ACGT"[v >> s & 3] for s in (6, 4, 2, 0))) for v in range(256)))
+    parts = [F.element_at(fours, F.shiftright(code, 2 * at).bitwiseAND(255).cast("int") + 1) for at in range(0, k, 4)]
+    if k % 4:
+        parts[-1] = F.substring(parts[-1], 5 - k % 4, k % 4)
+    return F.concat(*reversed(parts))
 
 
 def two_bit_mismatches(a: Column, b: Column) -> Column:

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.functions import codes
 from strandlake.functions.sequence import reverse_complement
 
 TILE = 4096
 #: Bases of the next tile that a tile also holds: windows of up to OVERLAP + 1 lie within one tile.
 OVERLAP = 255
 BEYOND = "an interval reaches beyond its chromosome"
+#: Windows cut from one piece of a tile; a window is looked for in its piece only.
+STRIP = 128
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -38,6 +42,31 @@ def tile_genome(chromosomes: DataFrame, size: int = TILE, overlap: int = OVERLAP
     return chromosomes.select("chr", "sequence").mapInArrow(cut, "chr string, tile long, sequence string")
 
 
+def tiles_of_lines(lines: DataFrame, size: int = TILE, overlap: int = OVERLAP) -> DataFrame:
+    """(chr, tile, sequence) as of tile_genome, from the lines (file, record, name, at, sequence) of FASTA files: each line goes
+    to the tiles that it touches, where the pieces come together in order. No row is above a tile and a line. Two records
+    of one name are an error."""
+    at, n = F.col("at"), F.length("sequence")
+    # a tile holds the first `overlap` bases of what comes after it
+    first = F.greatest(F.floor((at - overlap) / size), F.lit(0).cast("long"))
+    each = lines.where(n > 0).select(F.col("name").alias("chr"), F.struct("file", "record").alias("of"), at.alias("at"), "sequence", F.explode(F.sequence(first, F.floor((at + n - 1) / size))).alias("tile"))
+    low = F.greatest(F.col("tile") * size - F.col("at"), F.lit(0).cast("long"))
+    piece = F.substring("sequence", (low + 1).cast("int"), (F.col("tile") * size + (size + overlap) - F.col("at") - low).cast("int"))
+    each = each.select("chr", "of", "tile", (F.col("at") + low).alias("at"), piece.alias("piece")).where(F.length("piece") > 0)
+    whole = each.groupBy("chr", "tile").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]), "").alias("sequence"), F.min("of").alias("a"), F.max("of").alias("b"))
+    # the last tile of a record is one only if it has bases of its own
+    one = F.when(F.col("a") == F.col("b"), F.col("sequence")).otherwise(F.raise_error(F.concat(F.lit("two records are named "), "chr")))
+    return whole.select("chr", "tile", one.alias("sequence"))
+
+
+def tile_windows(tiles: DataFrame, k: int, size: int = TILE) -> DataFrame:
+    """Tiles as records (sequence) with each window of k once: what lies in the next tile goes, but for its first k - 1 bases.
+    Counting these counts the whole genome."""
+    if k > OVERLAP + 1:
+        raise ValueError(f"k must be in 1..{OVERLAP + 1}")
+    return tiles.select("chr", "tile", F.substring("sequence", 1, size + k - 1).alias("sequence"))
+
+
 def checked_strand(strand: Column) -> Column:
     return F.when(strand.isin("+", "-"), strand).otherwise(F.raise_error(F.concat(F.lit("strand must be + or -, not "), F.coalesce(strand, F.lit("null")))))
 
@@ -66,26 +95,58 @@ def windows_of(intervals: DataFrame, tiles: DataFrame, k: int, size: int = TILE)
     """Every window of k within each interval (.., chr, start, end, strand): interval columns, w_start, w_end, w_offset and
     sequence. Windows run in ascending coordinates on both strands; only the sequence turns with the strand.
 
-    Windows are cut from tiles, so no chromosome or gene is ever one string. The parts of the intervals are dealt out by
-    (chr, tile) before they grow to windows, so that a chromosome's windows are many tasks' work, however small the
-    tables are that they come from."""
+    Windows are cut from tiles, so no chromosome or gene is ever one string, and within a tile from strips, so the cost of
+    a window doesn't grow with the tile. The parts of the intervals are dealt out by (chr, tile) before they grow to
+    windows, so that a chromosome's windows are many tasks' work, however small the tables are that they come from. An
+    interval on a chromosome that isn't there, or beyond its end, is an error."""
     if not 1 <= k <= OVERLAP + 1:
         raise ValueError(f"k must be in 1..{OVERLAP + 1}")
     fitting = intervals.where(F.col("end") - F.col("start") + 1 >= k)
     parts = fitting.withColumn("tile", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - k) / size))))
-    parts = spread(parts).join(spread(tiles.withColumnRenamed("sequence", "tile_sequence")), ["chr", "tile"])
+    parts = spread(parts).join(spread(tiles.withColumnRenamed("sequence", "tile_sequence")), ["chr", "tile"], "left")
     low = F.greatest(F.col("start"), F.col("tile") * size + 1)
     high = F.least(F.col("end") - k + 1, (F.col("tile") + 1) * size)
-    # whether the tile is long enough is asked once for all its windows
+    # whether the tile is there and long enough is asked once for all its windows
     fits = F.length("tile_sequence") >= high - F.col("tile") * size + k - 1
-    parts = parts.withColumn("w_start", F.explode(F.when(fits, F.sequence(low, high)).otherwise(F.raise_error(F.lit(BEYOND)))))
-    seq = F.substring("tile_sequence", (F.col("w_start") - F.col("tile") * size).cast("int"), F.lit(k))
-    return parts.select(
+    strips = parts.withColumn("w_last", high).withColumn("w_first", F.explode(F.when(fits, F.sequence(low, high, F.lit(STRIP).cast("long"))).otherwise(F.raise_error(F.lit(BEYOND)))))
+    strips = strips.select(*intervals.columns, "w_first", "w_last", F.substring("tile_sequence", (F.col("w_first") - F.col("tile") * size).cast("int"), F.lit(STRIP + k - 1)).alias("strip"))
+    each = strips.withColumn("w_start", F.explode(F.sequence(F.col("w_first"), F.least(F.col("w_first") + (STRIP - 1), F.col("w_last")))))
+    seq = F.substring("strip", (F.col("w_start") - F.col("w_first") + 1).cast("int"), F.lit(k))
+    return each.select(
         *intervals.columns, "w_start", (F.col("w_start") + k - 1).alias("w_end"), (F.col("w_start") - F.col("start")).alias("w_offset"),
         stranded(seq, checked_strand(F.col("strand"))).alias("sequence"),
     )
 
 
+def genome_codes(tiles: DataFrame, k: int, size: int = TILE, unknown: int = 0) -> DataFrame:
+    """(chr, pos, code, sequence) of all plus-strand windows of k <= 31 of a genome, from its tiles alone: two-bit codes with a
+    null sequence. Windows with 1 to `unknown` other bases come with their sequence and a null code, those with more not
+    at all. Linear in bases whatever the tile size; tiles are dealt out, so that one chromosome is many tasks' work."""
+    if not 1 <= k <= codes.MOST:
+        raise ValueError(f"codes have k of 1..{codes.MOST}")
+
+    def roll(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            data, ends = codes.flat(batch.column("sequence"))
+            first = batch.column("tile").to_numpy() * size + 1
+            bad = np.concatenate(([0], np.cumsum(codes.is_unknown(data)))) if unknown else None
+            for w in codes.windows(data, ends, k):
+                mine = w.at < size  # the rest is the next tile's
+                if unknown:
+                    start = ends[w.row] + w.at
+                    mine &= bad[start + k] - bad[start] <= unknown
+                else:
+                    mine &= w.known
+                row, at, known = w.row[mine], w.at[mine], w.known[mine]
+                odd = np.flatnonzero(~known)
+                texts = np.full(len(row), None, object)
+                texts[odd] = [data[a : a + k].tobytes().decode() for a in (ends[row] + at)[odd]]
+                text = pa.array(texts, pa.string()) if len(odd) else pa.nulls(len(row), pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("chr").take(pa.array(row)), pa.array(first[row] + at), pa.array(w.code[mine], mask=~known), text], ["chr", "pos", "code", "sequence"])
+
+    return spread(tiles.select("chr", "tile", "sequence")).mapInArrow(roll, "chr string, pos long, code long, sequence string")
+
+
 def _exactly(genes: DataFrame, what: str, most: int | None) -> DataFrame:
     n = genes.limit((most or 1) + 1).count()
     if n == 0 or (most and n > most):

@@ -20,6 +20,44 @@ def read_fasta(spark: SparkSession, paths: str | list[str], upper: bool = True)
     )
 
 
+def read_fasta_lines(spark: SparkSession, paths: str | list[str], upper: bool = True) -> DataFrame:
+    """(file, record, name, description, at, sequence): the sequence lines of FASTA files, each with its record (the number of
+    header lines up to it in its file) and its 0-based place there. A header without sequence has one empty line.
+
+    A record is never one row, so one of any length is many tasks' work: lines are summed up within the blocks that Spark
+    reads, and one row for each block carries name and length over to the next. What stands before the first header of a
+    file is none of any record. A gzip file is one block, as it can't be split; a line is one row, however long it is."""
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(paths).select(*where, F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", r"\s+$", "").alias("value"))
+    head = F.startswith("value", F.lit(">"))
+    size = F.when(head, 0).otherwise(F.length(F.regexp_replace("value", r"\s", "")))
+    own = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.select("file", "block", "id", "value", head.alias("head"), size.cast("long").alias("size"))
+    lines = lines.withColumns({"nth": F.count_if("head").over(own), "stop": F.sum("size").over(own), "title": F.max(F.when(F.col("head"), F.struct("id", "value"))).over(own)["value"]})
+    # where a record begins in its block, so that places count from there
+    lines = lines.withColumn("since", F.max(F.when(F.col("head"), F.col("stop"))).over(own))
+    last = lines.groupBy("file", "block").agg(F.max(F.struct("id", "nth", "title", (F.col("stop") - F.coalesce("since", F.lit(0))).alias("left"))).alias("last"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    headed = F.col("last.nth") > 0
+    # blocks without a header go on with the record before them
+    blocks = last.withColumns({"records": F.coalesce(F.sum("last.nth").over(before), F.lit(0)), "total": F.coalesce(F.sum("last.left").over(before), F.lit(0))})
+    begun = F.max(F.when(headed, F.struct("block", F.col("last.title").alias("title"), F.col("total").alias("total")))).over(before)
+    blocks = blocks.withColumn("begun", begun).select("file", "block", "records", F.col("begun.title").alias("inherited"), (F.col("total") - F.coalesce("begun.total", F.lit(0))).alias("carried"))
+    found = lines.join(blocks, ["file", "block"]).where(F.col("records") + F.col("nth") > 0)
+    title = F.substring(F.coalesce("title", "inherited"), F.lit(2), F.length(F.coalesce("title", "inherited")))
+    place = F.col("stop") - F.col("size") - F.coalesce("since", F.lit(0)) + F.when(F.col("since").isNull(), F.col("carried")).otherwise(0)
+    seq = F.when(F.col("head"), "").otherwise(F.regexp_replace("value", r"\s", ""))
+    return found.where(F.col("head") | (F.col("size") > 0)).select(
+        "file", (F.col("records") + F.col("nth")).alias("record"), F.regexp_extract(title, r"^\s*(\S*)", 1).alias("name"), F.trim(F.regexp_replace(title, r"^\s*\S*", "")).alias("description"),
+        place.alias("at"), (F.upper(seq) if upper else seq).alias("sequence"),
+    )
+
+
+def fasta_index(lines: DataFrame) -> DataFrame:
+    """(file, record, name, description, length) of each record of read_fasta_lines."""
+    return lines.groupBy("file", "record", "name", "description").agg(F.max(F.col("at") + F.length("sequence")).alias("length"))
+
+
 def _numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, n, value): the lines of each file with their 0-based numbers.
 
