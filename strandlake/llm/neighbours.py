@@ -16,7 +16,7 @@ slice; it gives back the best k of each query, and the best k of these are the r
 but no pair of vectors is ever a row: a query sends k rows for each block. Nothing is broadcast or collected but the
 number of vectors by their lengths.
 
-Products are summed component by component in double precision. Equal products go to the smaller vec_id. Vectors that
+Whatever reaches a query's best has its product summed component by component in double precision. Equal products go to the smaller vec_id. Vectors that
 are null or zero, or hold a null, NaN or infinite component, and rows without a vec_id take no part. Vectors of one
 length meet each other only. Of rows that share a vec_id the one with the least vector takes part, so repeated rows are
 one and a query never finds its own id. Fewer than k candidates are all found. An empty table gives an empty result.
@@ -35,8 +35,8 @@ from .common import staged, table
 K = 20
 SEED = 42
 SURE = 4.0
-#: Bytes of vectors in a block, queries in a block, bytes of a slice's estimates.
-BLOCK, QUERIES, SLICE = 1 << 22, 2048, 1 << 25
+#: Bytes of vectors in a block, queries in a block, bytes of a slice's estimates, pairs reranked at once.
+BLOCK, QUERIES, SLICE, PAIRS = 1 << 22, 2048, 1 << 25, 1 << 15
 _CODES = "dim int, block int, ids binary, bits binary, scale binary, slack binary, mean binary, vectors binary"
 
 
@@ -111,6 +111,7 @@ def search(queries: tuple[np.ndarray, np.ndarray], block: dict[str, np.ndarray],
     dim, ids = q.shape[1], block["ids"]
     across, down = np.ascontiguousarray(q.T), np.ascontiguousarray(block["vectors"].T)
     turned, length, centre = (q @ rotation(dim).T).astype(np.float32), np.linalg.norm(q, axis=1).astype(np.float32), q @ block["mean"]
+    vectors, margin = block["vectors"], 1e-14 * dim * np.linalg.norm(q, axis=1) * np.linalg.norm(block["vectors"], axis=1).max()
     scale, slack = block["scale"].astype(np.float32), block["slack"].astype(np.float32)
     owner, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     least = np.full(len(q), -np.inf)
@@ -118,9 +119,17 @@ def search(queries: tuple[np.ndarray, np.ndarray], block: dict[str, np.ndarray],
     while at < len(ids):
         end = min(len(ids), at + step)
         signs = np.unpackbits(block["bits"][at:end], axis=1, count=dim).astype(np.float32) * 2 - 1
-        upper = (turned @ signs.T) * scale[at:end] + length[:, None] * slack[at:end]
-        i, j = np.nonzero((upper >= (least - centre)[:, None]) & (q_ids[:, None] != ids[None, at:end]))
-        reranked += len(i)
+        mask = (turned @ signs.T) * scale[at:end] + length[:, None] * slack[at:end] >= np.nextafter((least - centre).astype(np.float32), np.float32(-np.inf))[:, None]
+        mask &= q_ids[:, None] != ids[None, at:end]
+        reranked += np.count_nonzero(mask)
+        # exact products: of the whole slice at once where many are left, else of the pairs left
+        if 8 * np.count_nonzero(mask) > mask.size:
+            mask &= q @ vectors[at:end].T >= (least - margin)[:, None]
+            i, j = np.nonzero(mask)
+        else:
+            i, j = np.nonzero(mask)
+            keep = np.concatenate([np.einsum("ij,ij->i", q[i[x : x + PAIRS]], vectors[at + j[x : x + PAIRS]]) >= (least - margin)[i[x : x + PAIRS]] for x in range(0, len(i), PAIRS)] or [np.zeros(0, bool)])
+            i, j = i[keep], j[keep]
         new = products(across, down, i, j + at)
         owner, found, score = np.concatenate((owner, i)), np.concatenate((found, ids[at:end][j])), np.concatenate((score, new))
         top = best(owner, found, score, k)
