@@ -236,6 +236,19 @@ def estimate_totals(reads: DataFrame, k: int = 25, one_in: int = 16, both_strand
     return _sampled(reads, k, one_in, both_strands).agg((F.count(F.lit(1)) * one_in).alias("distinct_kmers"), total.alias("total_kmers"))
 
 
+def kmer_sketches(reads: DataFrame, k: int = 25, by: tuple[str, ...] = (), lg: int = 12, both_strands: bool = True) -> DataFrame:
+    """(by, sketch): a HyperLogLog sketch of 2^lg registers of the distinct k-mers of each group of reads, a few kilobytes
+    whatever the input. Sketches are written like any column and merged with those of other files."""
+    each = read_codes(reads, k, both_strands, keep=by).where("code is not null") if k <= codes.MOST else read_kmers(reads, k, both_strands, keep=by).withColumnRenamed("kmer", "code").where("code is not null")
+    return each.groupBy(*by).agg(F.hll_sketch_agg("code", F.lit(lg)).alias("sketch"))
+
+
+def sketched_distinct(sketches: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, distinct_kmers) estimated from sketches, merged within each group of by: equal k-mers of different files count
+    once. The error is about 1 / sqrt(2^lg), a hundredth and a half at lg = 12."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_kmers"))
+
+
 # Transforms. A frame that several branches read is worth persisting: each branch stays a filter over it.
 
 

@@ -69,19 +69,28 @@ def to_genomic(sites: DataFrame, exons: DataFrame) -> DataFrame:
     return hit.select(*sites.columns, "chr", start.alias("start"), end.alias("end"), "strand", F.col("exon_rank").cast("long").alias("exon_rank"))
 
 
-def _chosen(genes: DataFrame, column: str, wanted: list[str]) -> DataFrame:
-    """The genes named; a name that none has, or a gene name that several have, is an error (one row for each name comes here)."""
-    found = genes.where(F.col(column).isin(wanted))
-    seen = {r[0]: r[1] for r in found.groupBy(column).agg(F.countDistinct("gene_id")).collect()}
-    if missing := sorted(set(wanted) - seen.keys()):
+def _chosen(genes: DataFrame, column: str, wanted: list[str] | DataFrame) -> DataFrame:
+    """The genes named; a name that none has, or a gene name that several have, is an error. A frame of one column names any
+    number of genes."""
+    if isinstance(wanted, DataFrame):
+        names = wanted.toDF(column).distinct()
+        found = genes.join(names, column, "left_semi").select(*genes.columns)
+        missing = [r[0] for r in names.join(genes, column, "left_anti").limit(10).collect()]
+        several = found.groupBy(column).agg(F.countDistinct("gene_id").alias("n")).where("n > 1").limit(10)
+        several = [r[0] for r in several.collect()]
+    else:
+        found = genes.where(F.col(column).isin(wanted))
+        seen = {r[0]: r[1] for r in found.groupBy(column).agg(F.countDistinct("gene_id")).collect()}
+        missing, several = sorted(set(wanted) - seen.keys()), sorted(x for x, n in seen.items() if n > 1)
+    if missing:
         raise ValueError(f"no gene with {column} {missing}")
-    if several := sorted(x for x, n in seen.items() if n > 1):
+    if several:
         raise ValueError(f"more than one gene with {column} {several}")
     return found
 
 
 def create_target(
-    genes: DataFrame, exons: DataFrame, tiles: DataFrame, k: int, region: str, gene_ids: list[str] | None = None, gene_names: list[str] | None = None,
+    genes: DataFrame, exons: DataFrame, tiles: DataFrame, k: int, region: str, gene_ids: list[str] | DataFrame | None = None, gene_names: list[str] | DataFrame | None = None,
     prefix: str = "SL", size: int = TILE, transcripts: DataFrame | None = None,
 ) -> DataFrame:
     """Sites of the genes named by id or by name (exactly one of the two), in a region of REGIONS.
@@ -114,7 +123,7 @@ def site_by_id(sites: DataFrame, wanted: str) -> DataFrame:
 
 def add_sites(sites: DataFrame, more: DataFrame) -> DataFrame:
     """Both; an id that is there already is an error."""
-    if not more.join(sites, ["gene_id", "site_id"], "left_semi").isEmpty():
+    if not more.select("gene_id", "site_id").join(sites.select("gene_id", "site_id"), ["gene_id", "site_id"], "left_semi").isEmpty():
         raise ValueError("a site with this id exists")
     return sites.unionByName(more)
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.operators.genome import tile_genome
+from strandlake.operators.joins import one_union
+from strandlake.sources.readers import read_fasta_lines
+from strandlake.sources.scratch import new_path
 
 HEX, BASES = "0123456789abcdef", "ACGTACGTACGTACGT"
 #: Tile size for chromosomes of 1,024 bases: small, so that windows cross tiles.
@@ -63,6 +66,25 @@ def reads(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "part").select(F.col("p_partkey").alias("read_id"), _md5_bases("r").alias("sequence"))
 
 
+def mates(spark: SparkSession, d: str) -> DataFrame:
+    """Second mates of reads: the same ids, other bases, and every third one the first mate's own sequence."""
+    key = F.col("p_partkey")
+    return _table(spark, d, "part").select(key.alias("read_id"), F.when(key % 3 == 0, _md5_bases("r")).otherwise(_md5_bases("m")).alias("sequence"))
+
+
+def both_reads(spark: SparkSession, d: str) -> DataFrame:
+    """(mate, read_id, sequence) of both files: an id is in each."""
+    return one_union([x.withColumn("mate", F.lit(m)).select("mate", "read_id", "sequence") for m, x in ((1, reads(spark, d)), (2, mates(spark, d)))])
+
+
+def fasta_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The chromosomes, read line by line from a FASTA file of 60 bases a line."""
+    path = new_path(spark, "chromosomes")
+    wrapped = F.regexp_replace("sequence", "(.{60})", "$1\n")
+    chrom(spark, d).select(F.concat(F.lit(">"), "chr", F.lit(" derived\n"), wrapped).alias("value")).write.text(path)
+    return read_fasta_lines(spark, path)
+
+
 #: The same views in SQL for DuckDB; each may use those before it.
 SQL = {
     "chrom": """select concat('chr', cast(s_suppkey as varchar)) chr, string_agg(translate(md5(concat('chr', cast(s_suppkey as varchar), '-', cast(i as varchar))),
@@ -73,6 +95,8 @@ SQL = {
       cast(g_start + (l_linenumber - 1) * 25 + 19 + cast(l_quantity as bigint) % 7 as bigint) e_end from lineitem join gene g on g.gene_id = concat('G', lpad(cast(l_partkey as varchar), 8, '0'))""",
     "seqs": """select p_partkey seq_id, translate(md5(concat('p', cast(p_partkey as varchar))) || md5(concat('x', cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence from part""",
     "reads": """select p_partkey read_id, translate(md5(concat('r', cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence from part""",
+    "both_reads": """select m mate, p_partkey read_id, translate(md5(concat(case when m = 1 or p_partkey % 3 = 0 then 'r' else 'm' end, cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence
+      from part, range(1, 3) t(m)""",
 }
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions import sequence as fs
-from strandlake.operators import analysis, genome, kmers, offtargets, reads, sites
+from strandlake.operators import analysis, genome, joins, kmers, offtargets, reads, sites
+from strandlake.operators.algebra import Kmers, evaluate, evaluate_all
 from strandlake.sources import readers, writers
-from strandlake.sources.scratch import new_path
+from strandlake.sources.kmer_tables import Settings, counted_table
+from strandlake.sources.scratch import new_path, staged, write_outputs
 
 from . import derived as v
 from .derived import TILE, sql
@@ -161,12 +163,11 @@ def site_by_id(spark, d):
 
 @query(sql(f"""select *
   from ({_PRE_SITES})
-  where strand = '+'
   union all select gene_id, concat(site_id, '-X') site_id, chr, start, \"end\", strand, sequence
   from ({_PRE_SITES})
-  where strand = '+' and site_id like '%1'""", "chrom", "gene", **_k(_PRE, 16)))
+  where site_id like '%1'""", "chrom", "gene", **_k(_PRE, 16)))
 def add_sites(spark, d):
-    own = _pre(spark, d).where("strand = '+'")
+    own = _pre(spark, d)
     return sites.add_sites(own, own.where(F.col("site_id").like("%1")).withColumn("site_id", F.concat("site_id", F.lit("-X"))))
 
 
@@ -197,12 +198,12 @@ def locus_ids(spark, d):
     return e.select(fs.locus_id(F.col("chr"), F.col("start"), F.col("end"), F.col("strand")).alias("site_id"), sites.site_length(e).cast("long").alias("n"))
 
 
-@query(sql("""select transcript_id, o::bigint t_start, (o + 50)::bigint t_end, substring(sequence, cast(o + 1 as integer), 50) as sequence, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 50 as varchar)) site_id
-  from (select concat('T', cast(seq_id as varchar)) transcript_id, sequence, unnest(range(0, 64 - 50 + 1)) o
+@query(sql("""select transcript_id, o::bigint t_start, (o + 16)::bigint t_end, substring(sequence, cast(o + 1 as integer), 16) as sequence, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 16 as varchar)) site_id
+  from (select concat('T', cast(seq_id as varchar)) transcript_id, sequence, unnest(range(0, 64 - 16 + 1)) o
   from seqs)""", "seqs"))
 def transcript_sites(spark, d):
     t = v.seqs(spark, d).select(F.concat(F.lit("T"), F.col("seq_id").cast("string")).alias("transcript_id"), "sequence")
-    return sites.transcript_sites(t, 50).withColumn("site_id", fs.transcript_site_id(F.col("transcript_id"), F.col("t_start"), F.col("t_end")))
+    return sites.transcript_sites(t, 16).withColumn("site_id", fs.transcript_site_id(F.col("transcript_id"), F.col("t_start"), F.col("t_end")))
 
 
 _LAID = """select *, off_end - n off_start from (select *, e_end - e_start + 1 n, sum(e_end - e_start + 1) over w off_end, row_number() over w exon_rank
@@ -227,16 +228,15 @@ def create_target(spark, d):
 _OWNED = """select distinct gene_id, concat('T', cast(seq_id as varchar)) transcript_id, sequence
   from seqs
   join exon
-  on exon.transcript_id = concat('T', cast(seq_id as varchar))
-  where gene_id <= 'G00000099'"""
+  on exon.transcript_id = concat('T', cast(seq_id as varchar))"""
 
 
 @query(sql("""select gene_id, concat(transcript_id, ':', cast(o as varchar), '-', cast(o + 16 as varchar)) site_id, transcript_id, o::bigint t_start, (o + 16)::bigint t_end,
   substring(sequence, cast(o + 1 as integer), 16) as sequence from (select *, unnest(range(0, 64 - 16 + 1)) o from owned)""", "gene", "exon", "seqs", owned=_OWNED))
 def create_transcript_target(spark, d):
-    """Sites of the transcripts of the first 99 genes by name, each under its own."""
+    """Sites of the transcripts of all genes, by a frame of their names, each under its own."""
     named = v.gene(spark, d).withColumn("gene_name", F.concat("gene_name", F.lit("/"), "gene_id"))
-    names = [r[0] for r in named.where("gene_id <= 'G00000099'").select("gene_name").collect()]
+    names = named.select("gene_name")
     spliced = v.seqs(spark, d).select(F.concat(F.lit("T"), F.col("seq_id").cast("string")).alias("transcript_id"), "sequence")
     return sites.create_target(named, v.exon(spark, d), v.tiles(spark, d), 16, "transcriptomic", gene_names=names, transcripts=spliced)
 
@@ -344,14 +344,14 @@ def kmers_reverse_subtract_counts(spark, d):
 def counter_modes(spark, d):
     from functools import reduce
 
-    both = kmers.paired(_a(spark, d), _b(spark, d))
+    both, _ = staged(kmers.paired(_a(spark, d), _b(spark, d)), "paired")
     parts = [kmers.intersect_of(both, m).select(F.lit(m).alias("mode_name"), "kmer", "cnt") for m in kmers.MODES]
     return reduce(DataFrame.unionByName, parts)
 
 
 @query(sql("select 'union' output, kmer, a + b cnt from ab union all select 'intersect', kmer, least(a, b) from ab where a > 0 and b > 0", "seqs", "reads", **_BOTH))
 def chained_outputs(spark, d):
-    both = kmers.paired(_a(spark, d), _b(spark, d))
+    both, _ = staged(kmers.paired(_a(spark, d), _b(spark, d)), "paired")
     return kmers.union_of(both).select(F.lit("union").alias("output"), "*").unionByName(kmers.intersect_of(both).select(F.lit("intersect").alias("output"), "*"))
 
 
@@ -409,7 +409,7 @@ def set_counts(spark, d):
 
 @query(sql("select 'compact' output, kmer, null::bigint cnt from a union all select 'reduced', kmer, cnt from a where cnt >= 50", "seqs", **_A))
 def transform_outputs(spark, d):
-    a = _a(spark, d)
+    a, _ = staged(_a(spark, d), "kmers")
     return kmers.compact(a).select(F.lit("compact").alias("output"), "kmer", F.lit(None).cast("long").alias("cnt")).unionByName(kmers.reduce_counts(a, 50).select(F.lit("reduced").alias("output"), "kmer", "cnt"))
 
 
@@ -472,9 +472,116 @@ def fastq_round_trip(spark, d):
     return readers.read_fastq(spark, path)
 
 
+_TWO_HITS = _windows("wt", "seqs", 6, turned=True) | _counts("ct", "wt") | {"valid": "select kmer from ct where cnt >= 62"} | _windows("wr", "both_reads", 6, "mate, read_id", turned=True) | {
+    "hits": "select mate, read_id, pos, kmer in (select kmer from valid) hit from wr", "per": "select mate, read_id, count(*) filter (hit) n, min(pos) filter (not hit) bad from hits group by mate, read_id"}
+
+
+@query(sql("select r.* from both_reads r join per on per.read_id = r.read_id and per.mate = r.mate where n between 8 and 20", "seqs", "both_reads", **_TWO_HITS))
+def filter_two_files(spark, d):
+    """Reads of two files whose ids are the same."""
+    return reads.filter_reads(v.both_reads(spark, d), _valid(spark, d), 6, 8, 20)
+
+
+@query(sql("""select r.mate, r.read_id, case when bad is null then sequence when bad = 1 then '' else substring(sequence, 1, cast(bad + 4 as integer)) end as sequence
+  from both_reads r join per on per.read_id = r.read_id and per.mate = r.mate""", "seqs", "both_reads", **_TWO_HITS))
+def trim_two_files(spark, d):
+    return reads.trim_reads(v.both_reads(spark, d), _valid(spark, d), 6)
+
+
+@query(sql("""select r.mate, r.read_id, string_agg(case when exists (select 1 from hits h where h.mate = r.mate and h.read_id = r.read_id and h.hit and i between h.pos and h.pos + 5) then substring(r.sequence, cast(i as integer), 1) else 'N' end, '' order by i) as sequence
+  from both_reads r, range(1, 33) t(i) group by r.mate, r.read_id""", "seqs", "both_reads", **_TWO_HITS))
+def mask_two_files(spark, d):
+    return reads.mask_reads(v.both_reads(spark, d), _valid(spark, d), 6)
+
+
+@query(sql("select r.* from both_reads r where read_id in (select read_id from per where n >= 8 group by read_id having count(*) = 2)", "seqs", "both_reads", **_TWO_HITS))
+def filter_pairs(spark, d):
+    """Pairs of which both mates pass, from two FASTQ files."""
+    paths = [new_path(spark, "fastq") for _ in range(2)]
+    for path, records in zip(paths, (v.reads(spark, d), v.mates(spark, d)), strict=True):
+        writers.write_reads(reads.as_fastq(records), path)
+    kept = reads.filter_pairs(*(readers.read_fastq(spark, p) for p in paths), _valid(spark, d), 6, read_ci=8)
+    first, second = (x.select(F.lit(m).alias("mate"), F.col("read_id").cast("long").alias("read_id"), "sequence") for m, x in enumerate(kept, 1))
+    return first.unionByName(second)
+
+
 # -- files -----------------------------------------------------------------------------------------------------------
 
 
+@query(sql("select chr as name, 'derived' description, cast(length(sequence) as bigint) length from chrom", "chrom"))
+def fasta_index(spark, d):
+    """Names and lengths of the records of a FASTA file, none of which is ever one row."""
+    return readers.fasta_index(v.fasta_lines(spark, d)).select("name", "description", "length")
+
+
+@query(sql("select chr, t::bigint tile, substring(sequence, cast(t * 256 + 1 as integer), 511) as sequence from chrom, range(0, 4) r(t)", "chrom"))
+def tiles_by_lines(spark, d):
+    return genome.tiles_of_lines(v.fasta_lines(spark, d), TILE)
+
+
+@query(sql("select kmer, cnt from c where cnt >= 2", "chrom", **_windows("w", "chrom", 8, turned=True), **_counts("c", "w")))
+def count_chromosomes(spark, d):
+    """K-mers of whole chromosomes, read by lines."""
+    tiles = genome.tiles_of_lines(v.fasta_lines(spark, d), TILE)
+    return kmers.count_kmers(genome.tile_windows(tiles, 8, TILE), 8, cs=1_000_000_000)
+
+
+@query(sql("select kmer, cnt from c", "chrom", "seqs", "reads", w0="select sequence from chrom union all select sequence from seqs union all select sequence from reads union all select sequence from reads", **_windows("w", "w0", 25, turned=True), **_counts("c", "w")))
+def count_by_minimizers(spark, d):
+    """All k-mers of k = 25, counted by runs that share minimizers."""
+    each = [v.chrom(spark, d), v.seqs(spark, d), v.reads(spark, d), v.reads(spark, d)]
+    return kmers.count_kmers(joins.one_union([x.select("sequence") for x in each]), 25, ci=1, cs=1_000_000_000)
+
+
+@query(sql("select a.kmer, least(a.cnt, b.cnt) cnt from ca a join cb b on a.kmer = b.kmer where a.cnt >= 40 and b.cnt >= 15", "seqs", "reads", **_AB))
+def stored_tables_intersect(spark, d):
+    """Two bucketed tables kept with their settings."""
+    a = counted_table(v.seqs(spark, d), new_path(spark, "table"), Settings(k=6, ci=40, cs=1_000_000_000))
+    b = counted_table(v.reads(spark, d), new_path(spark, "table"), Settings(k=6, ci=15, cs=1_000_000_000))
+    return kmers.intersect(a, b)
+
+
+_C = _windows("wc", "chrom", 6, turned=True) | _counts("cc", "wc") | {"c": "select * from cc where cnt >= 30"}
+_THREE = {"n": "select coalesce(a.kmer, b.kmer, c.kmer) kmer, a.cnt a, b.cnt b, c.cnt c from a full join b on a.kmer = b.kmer full join c on c.kmer = coalesce(a.kmer, b.kmer)"}
+_NWAY = """select kmer, l + coalesce(r, 0) cnt from (select kmer, least(a, b) l, case when c is not null and a is null then c end r from n where a is not null and b is not null)
+  union all select kmer, case when a is not null and b is not null then least(a, b) else 0 end + c from n where not (a is not null and b is not null) and c is not null and a is null"""
+_CHAINED = """select 'kept' output, kmer, greatest(a, c) cnt from n where a is not null and c is not null and b is null
+  union all select 'more', kmer, coalesce(a, 0) + coalesce(b, 0) - coalesce(case when c >= 40 then c end, 0) from n where (a is not null or b is not null) and coalesce(a, 0) + coalesce(b, 0) - coalesce(case when c >= 40 then c end, 0) > 0"""
+
+
+def _three(spark, d):
+    c = kmers.count_kmers(genome.tile_windows(v.tiles(spark, d), 6, TILE), 6, ci=30, cs=1_000_000_000)
+    return {"a": _a(spark, d), "b": _b(spark, d), "c": c}
+
+
+@query(sql(_NWAY, "chrom", "seqs", "reads", **_AB, **_C, **_THREE))
+def nway_expression(spark, d):
+    """(a * b) + (c - a) over three tables in one aggregate."""
+    a, b, c = Kmers("a"), Kmers("b"), Kmers("c")
+    return evaluate(a * b + (c - a), _three(spark, d))
+
+
+@query(sql(_CHAINED, "chrom", "seqs", "reads", **_AB, **_C, **_THREE))
+def nway_outputs(spark, d):
+    """(a * c by greatest counter) - b, and (a + b) ^ (c with counters of 40 or more), both from one aggregate."""
+    a, b, c = Kmers("a"), Kmers("b"), Kmers("c")
+    return evaluate_all({"kept": a.intersect(c, "max") - b, "more": (a + b) ^ Kmers("c", ci=40)}, _three(spark, d))
+
+
+@query(sql("select 'compact' output, kmer, null::bigint cnt from a union all select 'reduced', kmer, cnt from a where cnt >= 50 union all select 'histogram', null, cast(count(*) as bigint) from a", "seqs", **_A))
+def written_outputs(spark, d):
+    """Three files from one count, which is deleted when they are written."""
+    compact, reduced, bars = (new_path(spark, "output") for _ in range(3))
+    write_outputs(_a(spark, d), {
+        compact: lambda x, p: kmers.compact(x).write.parquet(p), reduced: lambda x, p: writers.write_kmer_table(kmers.reduce_counts(x, 50), p),
+        bars: lambda x, p: kmers.histogram(x).write.parquet(p),
+    })
+    none = lambda kind: F.lit(None).cast(kind)
+    bars = spark.read.parquet(bars).agg(F.coalesce(F.sum("kmers"), F.lit(0)).cast("long").alias("cnt")).select(F.lit("histogram").alias("output"), none("string").alias("kmer"), "cnt")
+    return spark.read.parquet(compact).select(F.lit("compact").alias("output"), "kmer", none("long").alias("cnt")).unionByName(spark.read.parquet(reduced).select(F.lit("reduced").alias("output"), "kmer", "cnt")).unionByName(bars)
+
+
+
 @query(sql("select read_id::varchar as name, '' as description, sequence from reads", "reads"))
 def fasta_round_trip(spark, d):
     path = new_path(spark, "fasta")
@@ -541,7 +648,8 @@ def gathered_analyses(spark, d):
     own, genes = _pre(spark, d, 24), v.gene(spark, d)
     site = analysis.analyze_sites(own, {"gc": fs.gc_content})
     target = analysis.analyze_targets(own, genes, {"offset_in_gene": lambda: F.col("start") - F.col("g_start")})
-    whole = analysis.analyze_genome(own, offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 24, TILE).select(F.col("sequence").alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("cnt")))
+    counted = kmers.count_kmers(genome.tile_windows(v.tiles(spark, d), 24, TILE), 24, ci=1, cs=1_000_000_000, both_strands=False)
+    whole = analysis.analyze_genome(own, counted)
     return analysis.gather([site, target, whole])
 
 
@@ -569,12 +677,19 @@ def repeated_sites(spark, d):
     return found.withColumn("starts", F.array_join(F.col("starts").cast("array<string>"), ","))
 
 
+@query(sql("""select gene_id, sequence, cast(count(distinct w_start) as bigint) loci, array_to_string(list_sort(list(distinct w_start)), ',') starts
+  from pre group by gene_id, sequence having count(distinct w_start) > 1""", "chrom", "gene", **_k(_PRE, 6)))
+def repeat_groups(spark, d):
+    """Each repeated sequence of a gene once, with its places."""
+    return offtargets.repeat_groups(_pre(spark, d, 6)).withColumn("starts", F.array_join(F.col("starts").cast("array<string>"), ","))
+
+
 _OFF = _windows("gw", "chrom", 10, "chr") | {"q": f"select *, '+' hit_strand, sequence query from ps union all select *, '-' hit_strand, {_rc('sequence')} query from ps"}
 
 
 @query(sql('select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand from q join gw on gw.kmer = q.query join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 9 <= g.g_end)', "chrom", "gene", **_k(_PRE, 10), ps=_PRE_SITES, **_OFF))
 def exact_off_targets(spark, d):
-    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 10, TILE)
+    windows = genome.genome_codes(v.tiles(spark, d), 10, TILE)
     return offtargets.exact_off_targets(_pre(spark, d, 10), windows, v.gene(spark, d))
 
 
@@ -595,7 +710,7 @@ _TOUCHED = {"t": """select n.gene_id, n.site_id, count(distinct o.gene_id) genes
 
 
 def _near(spark, d, wanted: DataFrame):
-    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 14, TILE)
+    windows = genome.genome_codes(v.tiles(spark, d), 14, TILE, unknown=2)
     return offtargets.near_off_targets(wanted, windows, v.gene(spark, d), 14, 2)
 
 
