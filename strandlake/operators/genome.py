@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from strandlake.functions import codes
 from strandlake.functions.sequence import reverse_complement
 
+from .bloom import contains
+
 TILE = 4096
 #: Bases of the next tile that a tile also holds: windows of up to OVERLAP + 1 lie within one tile.
 OVERLAP = 255
@@ -118,12 +120,14 @@ def windows_of(intervals: DataFrame, tiles: DataFrame, k: int, size: int = TILE)
     )
 
 
-def genome_codes(tiles: DataFrame, k: int, size: int = TILE, unknown: int = 0) -> DataFrame:
+def genome_codes(tiles: DataFrame, k: int, size: int = TILE, unknown: int = 0, wanted: np.ndarray | None = None) -> DataFrame:
     """(chr, pos, code, sequence) of all plus-strand windows of k <= 31 of a genome, from its tiles alone: two-bit codes with a
     null sequence. Windows with 1 to `unknown` other bases come with their sequence and a null code, those with more not
-    at all. Linear in bases whatever the tile size; tiles are dealt out, so that one chromosome is many tasks' work."""
+    at all. Linear in bases whatever the tile size; tiles are dealt out, so that one chromosome is many tasks' work. With
+    a filter of wanted codes (see bloom), known windows that aren't in it are left out."""
     if not 1 <= k <= codes.MOST:
         raise ValueError(f"codes have k of 1..{codes.MOST}")
+    passing = None if wanted is None else tiles.sparkSession.sparkContext.broadcast(wanted)
 
     def roll(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -137,6 +141,8 @@ def genome_codes(tiles: DataFrame, k: int, size: int = TILE, unknown: int = 0) -
                     mine &= bad[start + k] - bad[start] <= unknown
                 else:
                     mine &= w.known
+                if passing is not None:
+                    mine &= ~w.known | contains(passing.value, w.code)
                 row, at, known = w.row[mine], w.at[mine], w.known[mine]
                 odd = np.flatnonzero(~known)
                 texts = np.full(len(row), None, object)

@@ -648,8 +648,7 @@ def gathered_analyses(spark, d):
     own, genes = _pre(spark, d, 24), v.gene(spark, d)
     site = analysis.analyze_sites(own, {"gc": fs.gc_content})
     target = analysis.analyze_targets(own, genes, {"offset_in_gene": lambda: F.col("start") - F.col("g_start")})
-    counted = kmers.count_kmers(genome.tile_windows(v.tiles(spark, d), 24, TILE), 24, ci=1, cs=1_000_000_000, both_strands=False)
-    whole = analysis.analyze_genome(own, counted)
+    whole = analysis.analyze_genome(own, offtargets.genome_counts(own, v.tiles(spark, d), 24, TILE))
     return analysis.gather([site, target, whole])
 
 
@@ -693,6 +692,12 @@ def exact_off_targets(spark, d):
     return offtargets.exact_off_targets(_pre(spark, d, 10), windows, v.gene(spark, d))
 
 
+@query(ORACLE_SQL["exact_off_targets"])
+def filtered_off_targets(spark, d):
+    """The same, with a Bloom filter before the shuffle."""
+    return offtargets.exact_off_targets_in(_pre(spark, d, 10), v.tiles(spark, d), v.gene(spark, d), 10, TILE)
+
+
 _NEAR = _windows("gw", "chrom", 14, "chr") | {"q": f"""select *, '+' hit_strand, sequence query from wanted union all select *, '-' hit_strand, {_rc('sequence')} query from wanted"""}
 _APART = "join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 13 <= g.g_end)"
 _NEAR_HITS = f"""select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand, cast(hamming(q.query, gw.kmer) as bigint) mismatches
@@ -785,8 +790,6 @@ def nearest_genes(spark, d):
     wg="select chr, o + 1 pos, substring(sequence, cast(o + 1 as integer), 9) kmer from (select *, unnest(range(0, length(sequence) - 8)) o from chrom)",
     wo="select kmer from wg, g4 where not (wg.chr = g4.chr and pos >= g_start and pos + 8 <= g_end)"))
 def unique_target_kmers(spark, d):
-    g = v.gene(spark, d).where("gene_id = 'G00000004'")
+    g = v.gene(spark, d).where("gene_id = 'G00000004'").select("chr", F.col("g_start").alias("start"), F.col("g_end").alias("end"))
     own = _pre(spark, d, 9).where("gene_id = 'G00000004'").select(F.col("sequence").alias("kmer")).distinct()
-    windows = offtargets.genome_windows(v.spans(spark, d), v.tiles(spark, d), 9, TILE)
-    inside = windows.join(g.select("chr", "g_start", "g_end"), "chr", "left").where("g_start is null or not (pos >= g_start and pos + 8 <= g_end)")
-    return offtargets.unique_kmers(own, inside.select(F.col("sequence").alias("kmer")))
+    return offtargets.unique_in_genome(own, g, v.tiles(spark, d), 9, TILE)
