@@ -99,38 +99,36 @@ def mixed(codes: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
 
 
-def pack(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Pieces of data (bases as letters) at starts, in two bits a base: binary values that begin with how many bases of the
-    last byte are none."""
+def pack(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Pieces of data (bases as letters) at starts, by parts: the parts there are, and for each its pieces in one value, two
+    bits a base. A value is the number of pieces (4 bytes), their sizes (2 bytes each, so under 65,536) and the bases of
+    each in whole bytes."""
+    order = np.argsort(parts, kind="stable")
+    starts, sizes, parts = starts[order], sizes[order], parts[order]
     padded = -(-sizes // 4) * 4
     first = np.concatenate(([0], np.cumsum(padded)))
     place = np.arange(int(first[-1])) - np.repeat(first[:-1], padded)
     bases = _CODE[data[np.repeat(starts, padded) + np.minimum(place, np.repeat(sizes - 1, padded))]].reshape(-1, 4)
     quads = bases[:, 0] << 6 | bases[:, 1] << 4 | bases[:, 2] << 2 | bases[:, 3]
-    ends = np.concatenate(([0], np.cumsum(padded // 4 + 1)))
-    out = np.empty(int(ends[-1]), np.uint8)
-    head = np.zeros(len(out), bool)
-    head[ends[:-1]] = True
-    out[head], out[~head] = padded - sizes, quads
-    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
+    found, low = np.unique(parts, return_index=True)
+    short, ends = sizes.astype(np.uint16), (first // 4).tolist()
+    bounds = [*low.tolist(), len(parts)]
+    return found, [b"".join((np.uint32(j - i).tobytes(), short[i:j].tobytes(), quads[ends[i] : ends[j]].tobytes())) for i, j in zip(bounds, bounds[1:], strict=False)]
 
 
 def unpack(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed pieces as bases (letters) in one row, and where each begins and the last one ends."""
-    data, ends = flat(column)
-    data = data[ends[0] : ends[-1]]
-    ends = ends - ends[0]
-    pads = data[ends[:-1]].astype(np.int64)
-    head = np.zeros(len(data), bool)
-    head[ends[:-1]] = True
-    quads = data[~head]
-    letters = np.frombuffer(b"ACGT", np.uint8)[np.stack([quads >> 6, quads >> 4 & 3, quads >> 2 & 3, quads & 3], axis=1).ravel()]
-    padded = (np.diff(ends) - 1) * 4
-    stop = np.cumsum(padded)
-    none = np.zeros(len(letters) + 1, np.int64)
-    for p in (1, 2, 3):  # the last p places of pieces with p or more pads
-        none[(stop - p)[pads >= p]] = 1
-    return letters[none[:-1] == 0], np.concatenate(([0], np.cumsum(padded - pads)))
+    """The pieces of packed values as bases (letters) in one row, and where each begins and the last one ends."""
+    held, quads = [np.zeros(0, np.uint16)], [np.zeros(0, np.uint8)]
+    for value in column:
+        whole = np.frombuffer(value.as_buffer(), np.uint8)
+        n = int(whole[:4].view(np.uint32)[0])
+        held.append(whole[4 : 4 + 2 * n].view(np.uint16))
+        quads.append(whole[4 + 2 * n :])
+    sizes, four = np.concatenate(held).astype(np.int64), np.concatenate(quads)
+    letters = np.frombuffer(b"ACGT", np.uint8)[np.stack([four >> 6, four >> 4 & 3, four >> 2 & 3, four & 3], axis=1).ravel()]
+    padded = -(-sizes // 4) * 4
+    inside = np.arange(len(letters)) - np.repeat(np.cumsum(padded) - padded, padded) < np.repeat(sizes, padded)
+    return letters[inside], np.concatenate(([0], np.cumsum(sizes)))
 
 
 def decoded(codes: np.ndarray, k: int) -> pa.Array:

@@ -125,8 +125,8 @@ def groups_of(sizes: np.ndarray, group: int = GROUP) -> np.ndarray:
 
 
 def runs_of(rows: DataFrame, k: int, group: np.ndarray) -> DataFrame:
-    """(part, run): pieces of the sequences, packed in two bits a base, whose windows share a group of minimizers; each window
-    without unknown bases is in one, but for those of group -1."""
+    """(part, runs): pieces of the sequences whose windows share a group of minimizers, packed in two bits a base, a row for
+    each group and block of windows; each window without unknown bases is in one piece, but for those of group -1."""
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -141,9 +141,10 @@ def runs_of(rows: DataFrame, k: int, group: np.ndarray) -> DataFrame:
                 size = np.diff(np.append(first, len(part)))
                 kept = part[first] >= 0
                 first, size = first[kept], size[kept]
-                yield pa.RecordBatch.from_arrays([pa.array(part[first], pa.int32()), codes.pack(data, (ends[w.row] + w.at)[first], size + k - 1)], ["part", "run"])
+                parts, runs = codes.pack(data, (ends[w.row] + w.at)[first], size + k - 1, part[first])
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(runs, pa.binary())], ["part", "runs"])
 
-    return rows.mapInArrow(cut, "part int, run binary")
+    return rows.mapInArrow(cut, "part int, runs binary")
 
 
 def _count_runs(runs: DataFrame, k: int, both_strands: bool) -> DataFrame:
@@ -158,7 +159,7 @@ def _count_runs(runs: DataFrame, k: int, both_strands: bool) -> DataFrame:
             return found, np.bincount(place, n, len(found)).astype(np.int64)
 
         for batch in batches:
-            for w in codes.windows(*codes.unpack(batch.column("run")), k):
+            for w in codes.windows(*codes.unpack(batch.column("runs")), k):
                 held.append(np.unique(w.canonical() if both_strands else w.code, return_counts=True))
                 if sum(len(x[0]) for x in held[1:]) > max(codes.CHUNK * 4, len(held[0][0])):
                     held = [merged()]
