@@ -12,7 +12,8 @@ class or id or as its head (site-footer, sidebar-left), never as a part of anoth
 and the like are prose at times, which no text rule can tell from the article's; their prior outweighs length and density.
 
 Null and empty pages have the empty text. Broken markup is read as far as it goes: unclosed elements end with the page,
-stray closing tags are ignored. Long pages are read whole, in one pass over their characters. Ties are settled as said.
+unclosed tags before the next one, stray closing tags are ignored. Long pages are read whole, in time that grows with
+their length (test_html_text doubles broken pages four times). Ties are settled as said.
 Repeated rows give repeated results; an empty table gives an empty one. Other columns, whatever their names, are ignored.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -66,10 +68,10 @@ FORM_WORDS = frozenset(
 NOT_A_MARK = frozenset("has no with without is not".split())
 NAMES = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|[^<]+|<""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"]*"|'[^']*')*+)>"""
+    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)(?:>|(?=<)|\Z)|[^<]+|<""",
     re.S,
-)
+)  # outside quotes a tag ends at the next <, so one that isn't closed is not looked for to the end of the page
 WORD = re.compile(r"\w+")
 
 #: Evidence from which a block is text, and down to which it is boilerplate.
@@ -111,6 +113,7 @@ def blocks_of(html: str) -> list[Block]:
     """The blocks of a page with what their elements say about them."""
     found: list[Block] = []
     stack = [_Open("", 0.0, 0, False, False, "")]
+    opened: Counter[str] = Counter()
     zones = links = linked = 0
     text: list[str] = []
 
@@ -145,9 +148,11 @@ def blocks_of(html: str) -> list[Block]:
         end()
         if closing:
             links = 0
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), None)
-            if k is not None:
-                del stack[k:]
+            while opened[name]:  # what stands within it ends with it
+                top = stack.pop().name
+                opened[top] -= 1
+                if top == name:
+                    break
             continue
         if name in RAW:
             close = re.compile(rf"</{name}\s*>", re.I).search(html, at)
@@ -156,8 +161,9 @@ def blocks_of(html: str) -> list[Block]:
         if name in VOID or attributes.endswith("/"):
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th") and stack[-1].name == name:
-            stack.pop()  # these end where the next one begins
+            opened[stack.pop().name] -= 1  # these end where the next one begins
         zones += 1
+        opened[name] += 1
         stack.append(_entered(stack[-1], name, attributes, zones))
     end()
     return found

@@ -5,7 +5,8 @@ start and an end (code points, end exclusive) and a score. The base kinds email,
 (as long as its country says, confirmed by mod 97) and account (13 to 15 digits that pass Luhn) are added where their
 score reaches LEAST, which for account takes a context word: a whole word within REACH characters on either side.
 
-Null and empty texts have no spans. Texts of any length are read whole; a span costs what its own length and REACH cost.
+Null and empty texts have no spans. Texts of any length are read whole; what stands near a span is looked for in the block
+of BLOCK characters that it begins and ends in, so a span costs no more in a long text.
 Spans of several kinds over one place all stay; within a kind the leftmost wins. Repeated rows give repeated results, an
 empty table an empty one. Other columns are ignored, whatever their names.
 """
@@ -22,6 +23,7 @@ KINDS = ("email", "ip", "card", "phone", "iban", "account")
 LEAST = 0.6
 #: Code points on either side of a span that are searched for context words.
 REACH = 48
+BLOCK = 512
 
 # Possessive quantifiers and looks behind only keep long runs from being tried at each of their characters: a match
 # always starts at the left end of its run, or where the match before it ended (\G).
@@ -101,14 +103,21 @@ def pii_spans(text: Column) -> Column:
     empty = F.array().cast("array<struct<rank:int,kind:string,start:int,end:int,score:double>>")
     text = F.coalesce(text, F.lit(""))
 
+    def within(blocks: Column, at: Column, n: Column) -> Column:
+        """n <= REACH characters of the text from 0-based place at."""
+        b = F.floor(at / BLOCK).cast("int")
+        two = F.concat(F.coalesce(F.try_element_at(blocks, b + 1), F.lit("")), F.coalesce(F.try_element_at(blocks, b + 2), F.lit("")))
+        return F.substring(two, at - b * BLOCK + 1, n)
+
     def of(kind: str, here: Column, pattern: str, valid, least: float = 0.0) -> Column:
-        def scored(s: Column) -> Column:
-            before = F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH)))
-            near = F.lower(F.concat(before, F.lit(" | "), F.substring(text, s["end"] + 1, F.lit(REACH))))
+        def scored(s: Column, blocks: Column) -> Column:
+            before = within(blocks, F.greatest(s["start"] - REACH, F.lit(0)), F.least(s["start"], F.lit(REACH)))
+            near = F.lower(F.concat(before, F.lit(" | "), within(blocks, s["end"], F.lit(REACH))))
             score = F.lit(PRIOR[kind]) + F.when(near.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{CONTEXT[kind]})(?![\p{{L}}\p{{N}}])"), BOOST).otherwise(0.0)
             return F.struct(F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"))
 
-        found = F.transform(F.filter(located(text, pattern), lambda s: valid(s["match"])), scored)
+        proposed = F.filter(located(text, pattern), lambda s: valid(s["match"]))
+        found = let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda blocks: F.transform(proposed, lambda s: scored(s, blocks)))
         return F.when(here, F.filter(found, lambda s: s["score"] >= least) if least else found).otherwise(empty)
 
     always = lambda m: F.lit(True)
