@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_slices, small, staged
-from .simhash import _LOWER, RADIUS, components, keep_heads, near_links
+from .simhash import _LOWER, RADIUS, components, hooked, keep_heads, near_links
 
 WIDTH, LIMIT = 5, 0.8
 PRINTS = 5
@@ -147,12 +147,11 @@ def clusters(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     shared = staged(each.groupBy("j", "fp").agg(F.min("node").alias("head"), F.max("node").alias("other")), "print-values")
     # every fingerprint becomes 31 rows, so tasks begin with few
     values = shared.select("j", "fp")
-    near = near_links(values.repartition(max(1, values.count() // SPREAD)), radius, by=("j",), star=True)
+    near = hooked(near_links(values.repartition(max(1, values.count() // SPREAD)), radius, by=("j",), star=True), ("j",))
     head = shared.select("j", F.col("fp"), "head")
     pairs = near.join(head.withColumnsRenamed({"fp": "a", "head": "x"}), ["j", "a"]).join(head.withColumnsRenamed({"fp": "b", "head": "y"}), ["j", "b"]).select("x", "y")
     equal = each.join(shared.where("head < other"), ["j", "fp"]).where("node != head").select(F.col("head").alias("x"), F.col("node").alias("y"))
-    links = pairs.unionByName(equal).where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    found = components(links)
+    found = components(hooked(pairs.unionByName(equal).select(F.col("x").alias("a"), F.col("y").alias("b"))))
     return found.select("node", F.col("root").alias("cluster")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("cluster")).distinct())
 
 

@@ -15,9 +15,9 @@ yet go through midpoints: two members differ in at most radius cleared bits, so
 common value; every member names all values within radius / 2 flips, and each value links those who name it to the
 least of them. That is linear in the bucket, exact, and never lists all pairs of a group.
 
-Null text counts as empty; texts of any length are read whole. Rows that share a doc_id are one node in the graph, each with its own fingerprint; a null
-doc_id stands alone in the output with its fingerprint, and takes the component of that fingerprint. An empty table
-gives an empty result. Other columns are ignored.
+Null text counts as empty; texts of any length are read whole. Nodes of the graph are fingerprints: rows that share a doc_id
+have each their own, and with it its component, so two such rows can be in two components. A row without a doc_id takes
+the component of its fingerprint, but names none. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -137,6 +137,16 @@ def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL, by: tuple
     return links.unionByName(stars).distinct()
 
 
+def hooked(links: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Links (by, a, b) with a < b that connect what the given ones do: all smaller ends of a b hang on the least of them. Where
+    many tables name the same few centres, this leaves about one link for each b. A b has at most as many ends as it has
+    stars: a row or 529 for each table."""
+    each = links.where("a != b").groupBy(*by, F.greatest("a", "b").alias("b")).agg(F.collect_set(F.least("a", "b")).alias("ends"))
+    each = each.withColumn("low", F.array_min("ends"))
+    hung = F.transform(F.filter("ends", lambda x: x != F.col("low")), lambda x: F.struct(F.col("low").alias("a"), x.alias("b")))
+    return each.select(*by, F.explode(F.concat(F.array(F.struct(F.col("low").alias("a"), "b")), hung)).alias("e")).select(*by, "e.a", "e.b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (its component's least node) of every node in links (a, b): large-star, small-star rounds.
 

@@ -146,3 +146,27 @@ def test_pipeline_stage_measures_similarity(spark):
 
 def test_empty_table(spark):
     assert shingles.keep_first(docs_of(spark, [])).count() == 0
+
+
+def test_hooked_links_connect_the_same(spark):
+    rng = random.Random(12)
+    links = [(j, *sorted(rng.sample(range(60), 2))) for j in range(2) for _ in range(50)] + [(0, 3, x) for x in range(100, 160)] + [(0, 4, x) for x in range(100, 160)]
+
+    def classes(found):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for j, a, b in found:
+            root[find((j, b))] = find((j, a))
+        groups = {}
+        for x in list(root):
+            groups.setdefault(find(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    frame = spark.createDataFrame([(j, b, a) if (a + b) % 2 else (j, a, b) for j, a, b in links], "j int, a long, b long")
+    got = [(r.j, r.a, r.b) for r in simhash.hooked(frame, ("j",)).collect()]
+    assert classes(got) == classes(links) and all(a < b for _, a, b in got) and len(got) == len(set(got)) < len(links) - 40
