@@ -18,8 +18,9 @@ each overlap the passages where it was found (and as many words on either side a
 word trigrams (of the whole part where it is shorter) occur there. Items of fewer than LEAST words can't be told from
 common phrases; they stay out of the index, and short_items names them.
 
-The index is dealt into shards of about SHARD units by a hash of the item; one shard at a time is broadcast, searched
-with and let go, so what driver and executors hold has a fixed bound. One shard (the usual case) needs one lazy pass.
+The index is dealt into shards of about SHARD units by a hash of the item, after short items have gone and by units, not by
+items; one shard at a time is broadcast, searched with and let go, so what driver and executors hold has a bound: SHARD
+units of UNIT words and the longest item. One shard (the usual case) needs one lazy pass.
 
 Words are lower-cased; ASCII punctuation separates. Null and empty texts and items yield nothing; texts of any length are
 read whole. Equal items (id and text) count once; repeated documents yield repeated rows; items that share an id are
@@ -234,15 +235,20 @@ def _named(benchmark: DataFrame) -> DataFrame:
     return benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
 
 
-def short_items(benchmark: DataFrame, least: int = LEAST) -> DataFrame:
-    """item_id and n_words of the items with too few words to be indexed."""
+def _sized(benchmark: DataFrame) -> DataFrame:
+    """item_id, text and n_words of the items."""
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            sizes = pa.array([len(words_of(t)) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("item_id"), sizes], ["item_id", "n_words"])
+        for batch in in_slices(it):
+            sizes = pa.array([sum(map(len, parts_of(t))) for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), batch.column("text"), sizes], ["item_id", "text", "n_words"])
+
+    return _named(benchmark).mapInArrow(count, "item_id long, text string, n_words long")
 
-    return _named(benchmark).mapInArrow(count, "item_id long, n_words long").where(F.col("n_words") < least)
+
+def short_items(benchmark: DataFrame, least: int = LEAST) -> DataFrame:
+    """item_id and n_words of the items with too few words to be indexed."""
+    return _sized(benchmark).where(F.col("n_words") < least).select("item_id", "n_words")
 
 
 def _unit_words(items: DataFrame) -> DataFrame:
@@ -264,7 +270,7 @@ def _unit_words(items: DataFrame) -> DataFrame:
 
 def _indexes(benchmark: DataFrame, shard: int) -> tuple[int, Iterator[Index]]:
     """How many shards there are, and their indexes, one after another."""
-    items = staged(_named(benchmark), "benchmark-items")
+    items = staged(_sized(benchmark).where(F.col("n_words") >= LEAST).select("item_id", "text"), "benchmark-items")
     words = staged(_unit_words(items).groupBy("word").agg(F.count(F.lit(1)).alias("seen"), F.sum("unit").alias("units"), F.sum("size").alias("size")), "benchmark-words")
     number, size = words.agg(F.sum("units"), F.sum("size")).first()
     number = number or 0

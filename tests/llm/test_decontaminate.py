@@ -94,3 +94,17 @@ def test_short_items_and_far_parts(spark):
     docs = docs_of(spark, [(1, "the cat sat"), (2, f"{filler} alpha beta gamma delta epsilon zeta eta theta iota kappa lambda {filler}"), (3, f"alpha beta gamma delta epsilon zeta eta theta {filler} iota kappa lambda")])
     assert [(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()] == [(2, 3)]
     assert {r.doc_id for r in dc.drop_contaminated(docs, bench).collect()} == {1, 3}
+
+
+def test_short_items_are_not_collected(spark):
+    items = [(k, f"w{k} x y") for k in range(3000)] + [(5000 + k, " ".join(f"u{k}v{i}" for i in range(30))) for k in range(40)] + [(9000, " ".join(f"long{i}" for i in range(20_000)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    n, indexes = dc._indexes(bench, 100)
+    held = [len(x.items) for x in indexes]
+    # 40 units and 313 of the long item: by units there are several shards, and the long item is in one
+    assert n == 6 and sum(held) == 41
+    assert dc.short_items(bench).count() == 3000
+    n, indexes = dc._indexes(bench.where("item_id < 5000"), 100)
+    assert [len(x.items) for x in indexes] == [0]
+    docs = docs_of(spark, [(1, items[3000][1]), (2, items[0][1]), (3, items[-1][1])])
+    assert sorted((r.doc_id, r.item_id) for r in dc.contaminated(docs, bench, shard=100).collect()) == [(1, 5000), (3, 9000)]
