@@ -61,18 +61,20 @@ def known_spans(text: Column) -> Column:
 
 def upper_tail(x: Column, df: int) -> Column:
     """P(chi-squared with an even number of degrees of freedom > x): a finite sum."""
-    half = x / 2
-    term, total = F.lit(1.0), F.lit(1.0)
-    for k in range(1, df // 2):
-        term = term * half / k
-        total = total + term
-    return F.least(F.exp(-half) * total, F.lit(1.0))
+
+    def tail(half: Column) -> Column:
+        term, total = F.lit(1.0), F.lit(1.0)
+        for k in range(1, df // 2):
+            term = term * half / k
+            total = total + term
+        return F.least(F.exp(-half) * total, F.lit(1.0))
+
+    return let(x / 2, tail)  # x is a long expression
 
 
 def two_sided(z: Column) -> Column:
     """P(|normal| > |z|), by the logistic approximation (error below 2e-4)."""
-    a = F.abs(z)
-    return F.least(2 / (1 + F.exp(F.least(1.5976 * a + 0.070566 * a * a * a, F.lit(700.0)))), F.lit(1.0))
+    return let(F.abs(z), lambda a: F.least(2 / (1 + F.exp(F.least(1.5976 * a + 0.070566 * a * a * a, F.lit(700.0)))), F.lit(1.0)))
 
 
 def _battery(values: Column, size: Column) -> Column:
@@ -83,7 +85,8 @@ def _battery(values: Column, size: Column) -> Column:
     # group g holds the values v with g <= GROUPS * v / size < g + 1
     share = lambda g: (F.ceil((g + 1) * size / GROUPS) - F.ceil(g * size / GROUPS)) / size
     here = lambda g: F.size(F.filter(values, lambda x: group(x) == g)).cast("double")
-    chi = total(F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda g: (here(g) - n * share(g)) * (here(g) - n * share(g)) / (n * share(g))))
+    off = lambda g: let(n * share(g), lambda due: let(here(g) - due, lambda d: d * d / due))
+    chi = total(F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), off))
     runs = let(F.transform(values, lambda x: (2 * x >= size).cast("int")), _runs)
     serial = let(total(F.transform(values, lambda x: x.cast("double"))) / n, lambda mean: let(F.transform(values, lambda x: x - mean), _serial))
     log = lambda p: F.log(F.greatest(p, F.lit(1e-300)))
