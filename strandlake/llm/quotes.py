@@ -116,12 +116,18 @@ def positioned(messages: DataFrame) -> DataFrame:
 
 
 def build_conversations(linked: DataFrame, part: int = PART) -> DataFrame:
-    """conv_id, thread_root, part, n_messages and text: the messages of a thread in reply order, each under its role, at most
-    `part` in a record. Messages without a position are left out."""
+    """conv_id, thread_root, part, n_messages, turns, replies (what each turn answers, or null), n_quotes, n_linked and text: the
+    messages of a thread in reply order without their quotes, each under its role, at most `part` in a record. A message
+    without a position (no conv_id or no turn) is a record of its own, without a part."""
     tagged = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), "text")
-    rows = linked.where("position is not null").select("conv_id", "thread_root", F.floor(F.col("position") / part).alias("part"), F.struct("position", tagged.alias("t")).alias("m"))
-    one = F.array_join(F.transform(F.sort_array(F.collect_list("m")), lambda x: x["t"]), "\n")
-    return rows.groupBy("conv_id", "thread_root", "part").agg(F.count(F.lit(1)).alias("n_messages"), one.alias("text"))
+    message = F.struct("position", tagged.alias("t"), "turn", "reply_to")
+    rows = linked.where("position is not null").select("conv_id", "thread_root", F.floor(F.col("position") / part).alias("part"), message.alias("m"), "n_quotes", "n_linked")
+    each = lambda name: F.transform("all", lambda x: x[name])
+    sums = [F.count(F.lit(1)).alias("n_messages"), F.sum("n_quotes").alias("n_quotes"), F.sum("n_linked").alias("n_linked"), F.sort_array(F.collect_list("m")).alias("all")]
+    whole = rows.groupBy("conv_id", "thread_root", "part").agg(*sums)
+    columns = ["conv_id", "thread_root", "part", "n_messages", each("turn").alias("turns"), each("reply_to").alias("replies"), "n_quotes", "n_linked", F.array_join(each("t"), "\n").alias("text")]
+    alone = linked.where("position is null").select("conv_id", "thread_root", F.lit(None).cast("long").alias("part"), F.lit(1).cast("long").alias("n_messages"), F.array(message).alias("all"), "n_quotes", "n_linked")
+    return whole.select(columns).unionByName(alone.select(columns))
 
 
 def thread_roots(replies: DataFrame) -> DataFrame:
@@ -137,4 +143,4 @@ def thread_roots(replies: DataFrame) -> DataFrame:
 
 
 def op5_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(table(spark, sf_dir, "conversations"))
+    return build_conversations(link_quotes(table(spark, sf_dir, "conversations")))

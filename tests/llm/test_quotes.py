@@ -60,10 +60,33 @@ def test_conversations_are_built_in_reply_order(spark):
                 assert built[conv, root, k // part].text == want and ">" not in built[conv, root, k // part].text.replace("|>", "")
 
 
-def test_query_gives_every_message(spark):
-    given = spark.read.parquet(f"{D}/conversations.parquet")
-    got = quotes.op5_quotes(spark, D)
-    assert got.count() == given.count() and got.columns == ["conv_id", "turn", "role", "text", "reply_to", "thread_root", "depth", "n_quotes", "n_linked", "position"]
+def test_query_holds_every_message(spark):
+    given = {(r.conv_id, r.turn): r for r in spark.read.parquet(f"{D}/conversations.parquet").collect()}
+    got = quotes.op5_quotes(spark, D).collect()
+    assert sorted((r.conv_id, t) for r in got for t in r.turns) == sorted(given)
+    for r in got:
+        assert r.n_messages == len(r.turns) == len(r.replies) <= quotes.PART
+        said = [f"<|{given[r.conv_id, t].role}|>\n" for t in r.turns]
+        assert [x for x in said if x in r.text] == said and (r.part or r.turns[0] == r.thread_root)
+
+
+def test_a_quoting_table_becomes_conversations(spark, tmp_path):
+    """The query on a table whose messages quote: every reply stands under the message it answers, once, without the quote."""
+    rows, answers, own = quoting(spark)
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = quotes.op5_quotes(spark, str(tmp_path)).collect()
+    assert {(r.conv_id, t): to for r in got for t, to in zip(r.turns, r.replies, strict=True)} == answers
+    assert sum(r.n_linked > 0 for r in got) > 5 and sum(r.n_quotes for r in got) >= sum(x is not None for x in answers.values())
+    for r in got:
+        at = {t: k for k, t in enumerate(r.turns)}
+        assert all(to is None or at[to] < at[t] for t, to in zip(r.turns, r.replies, strict=True))
+        assert r.text.split("\n")[1::2] == [own[r.conv_id, t] for t in r.turns]
+
+
+def test_messages_without_a_place_are_records(spark):
+    frame = spark.createDataFrame([(None, 1, "a", "x"), (1, None, None, "y"), (1, 0, "u", "z"), (1, 0, "u", "z")], "conv_id long, turn long, role string, text string")
+    got = sorted((r.conv_id or -1, r.part is None, r.n_messages, r.text) for r in quotes.build_conversations(quotes.link_quotes(frame)).collect())
+    assert got == [(-1, True, 1, "<|a|>\nx"), (1, False, 2, "<|u|>\nz\n<|u|>\nz"), (1, True, 1, "<||>\ny")]
 
 
 def test_nulls_repeats_and_long_threads(spark):
