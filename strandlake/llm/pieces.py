@@ -272,34 +272,44 @@ class Transducer:
 
         The state at a place depends on those of the places that a piece reaches back to. So where a chunk's states
         agree on that many places with those from before, they are the word's own from there on. Where they never
-        agree (rare: repeats whose period doesn't fit), larger chunks are tried, in the end the whole word."""
+        agree (repeats), this chunk and those after it are cut anew from the last place before it where the path so far begins
+        a piece, first one, then ever more; if they don't agree then, larger chunks are tried, in the end the whole word."""
         reach = int(self.spelled_size.max())
-        begins = range(0, len(word), chunk)
         last, span = np.full(len(word) + 1, -1), np.zeros(len(word) + 1, np.int64)
-        known = 0  # the places up to here have their states
-        per_step = max(1, STEP // (chunk + 8 * reach))
-        for low in range(0, len(begins), per_step):
-            some = [(b, word[b : b + chunk + 8 * reach]) for b in begins[low : low + per_step]]
+        known = begin = 0  # the places up to `known` have their states
+        most = width = max(1, STEP // (chunk + 8 * reach))
+        while begin < len(word):
+            some = [(b, word[b : b + chunk + 8 * reach]) for b in range(begin, len(word), chunk)[:width]]
             own_last, own_span, at = self._relaxed([x for _, x in some])
             for (b, x), i in zip(some, at.tolist(), strict=True):
-                new_last, new_span = own_last[i : i + len(x) + 1], own_span[i : i + len(x) + 1]
                 end = b + len(x)
-                if b and end > known:
-                    same = (new_last[1 : known - b + 1] == last[b + 1 : known + 1]).astype(np.int64)
-                    total = np.concatenate(([0], np.cumsum(same)))
-                    agreed = np.flatnonzero(total[reach:] - total[:-reach] == reach) if len(total) > reach else np.zeros(0, np.int64)
-                    if not len(agreed):
-                        return self._long_path(word, 8 * chunk)
-                    # places from the agreement on, up to `known`, have these states already
-                if end > known:
-                    last[known + 1 : end + 1], span[known + 1 : end + 1] = new_last[known - b + 1 :], new_span[known - b + 1 :]
+                if b and end > known and not self._agree(own_last[i : i + len(x) + 1], last[b : known + 1], reach):
+                    break
+                if end > known:  # places from the agreement on, up to `known`, have these states already
+                    last[known + 1 : end + 1], span[known + 1 : end + 1] = (own[i + known - b + 1 : i + len(x) + 1] for own in (own_last, own_span))
                     known = end
+            else:
+                begin, width = some[-1][0] + chunk, min(most, 2 * width)
+                continue
+            to = known
+            while to > b:
+                to -= int(span[to])
+            if width == 1 or to == b:
+                return self._long_path(word, 8 * chunk)
+            begin, width = to, 1
         back, sizes, at, symbols = last.tolist(), span.tolist(), len(word), []
         while at:
             symbols.append(back[at])
             at -= sizes[at]
         return self._spelled_out(np.zeros(len(symbols), np.int64), np.array(symbols[::-1], np.int64))[1].tobytes()
 
+    @staticmethod
+    def _agree(new: np.ndarray, known: np.ndarray, reach: int) -> bool:
+        """Whether states from one place on agree with those known, on `reach` places running."""
+        n = min(len(new), len(known))
+        total = np.concatenate(([0], np.cumsum(new[1:n] == known[1:n])))
+        return len(total) > reach and bool((total[reach:] - total[:-reach] == reach).any())
+
     def _spelled_out(self, word: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols as ids (int32), fallback characters as their bytes; and the word of each."""
         odd = np.flatnonzero(symbol >= self.n)

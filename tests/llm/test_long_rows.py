@@ -2,10 +2,11 @@
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.llm import html_text, pii, secrets
+from strandlake.llm import html_text, pieces, pii, secrets
 
 
 def grows_slowly(run, sizes, limit=8.0, floor=0.3):
@@ -75,3 +76,17 @@ def test_many_tokens_in_one_long_text(spark):
         assert found.select(F.size("c").alias("n")).first().n == n
 
     grows_slowly(run, (1_000, 4_000, 16_000), floor=4.0)
+
+
+@pytest.mark.parametrize("unit", ["a", "-", "ab", "xyz="])
+def test_runs_as_one_word(unit):
+    model = pieces._transducer(pieces.read_model())
+    grows_slowly(lambda n: model.encode((unit * n)[:n]), (8_000, 32_000, 128_000), floor=2.0)
+    for n in (2_000, 9_001):
+        word = (unit * n)[:n]
+        last, span, _ = model._relaxed([word])  # the whole word, place by place
+        at, found = n, []
+        while at:
+            found.append(int(last[at]))
+            at -= int(span[at])
+        assert np.frombuffer(model._long_path(word), np.int32).tolist() == found[::-1]
