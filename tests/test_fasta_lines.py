@@ -94,3 +94,18 @@ def test_windows_by_codes_are_windows_by_strings(spark, files):
         want = {(n, i + 1, s.upper()[i : i + k]) for n, s in records.items() for i in range(len(s) - k + 1) if s.upper()[i : i + k].count("N") <= unknown}
         assert {(r.chr, r.pos, r.s) for r in rows} == want and len(rows) == len(want)
         assert all((r.code is None) == ("N" in r.s) for r in rows)
+
+
+def test_block_compressed_reads_are_split(spark, tmp_path):
+    """bzip2 is cut at its blocks, so one compressed file is many tasks' work, and records still number right."""
+    import bz2
+
+    rng = random.Random(11)
+    rows = [(f"r{i}", "".join(rng.choices("ACGT", k=150)), "".join(rng.choices("!#@>IJ", k=150))) for i in range(9000)]
+    (tmp_path / "x.fq.bz2").write_bytes(bz2.compress("".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows).encode(), 1))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150000")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, readers.read_fastq(spark, str(tmp_path)).collect())) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
