@@ -7,24 +7,29 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A key is heavy if it has more than one in so many of a side's rows.
-SHARE = 2048
+#: A key is heavy if it has more than one in SHARE of a side's rows, and more than LEAST.
+SHARE, LEAST = 2048, 4096
 
 
-def heavy_keys(df: DataFrame, on: list[str], share: int = SHARE) -> tuple[dict[tuple, int], int]:
+def heavy_keys(df: DataFrame, on: list[str], share: int = SHARE, least: int = LEAST) -> tuple[dict[tuple, int], int]:
     """The heavy keys of a side with their rows, and how many rows a key may have: at most `share` keys come back."""
-    bound = max(1, df.count() // share)
-    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound)
-    return {tuple(r[c] for c in on): r.n for r in counted.collect() if all(r[c] is not None for c in on)}, bound
+    counted = df.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    found = counted.orderBy(F.desc("n")).limit(share).collect()
+    if not found:
+        return {}, least
+    bound = max(least, df.count() // share)
+    return {tuple(r[c] for c in on): r.n for r in found if r.n > bound}, bound
 
 
-def split_join(left: DataFrame, right: DataFrame, on: list[str], share: int = SHARE) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, on: list[str], share: int = SHARE, least: int = LEAST, left_even: bool = False) -> DataFrame:
     """left.join(right, on), in which heavy keys of either side are cut up: if a key has a and b times the rows that a key may
     have, its rows on the left are dealt into a parts and those on the right into b, and each of the a * b pairs of parts
-    meets under a key of its own. All other rows move once, as in any join; a side's rows are read once more to be counted.
+    meets under a key of its own. All other rows move once, as in any join; a side's rows are read once more to be counted,
+    by key, and once more if there are heavy keys. With left_even no key of the left is heavy, which then isn't counted.
 
     At most `share` keys of a side can be heavy, so what is sent around has a bound."""
-    (l_heavy, l_most), (r_heavy, r_most) = heavy_keys(left, on, share), heavy_keys(right, on, share)
+    l_heavy, l_most = ({}, least) if left_even else heavy_keys(left, on, share, least)
+    r_heavy, r_most = heavy_keys(right, on, share, least)
     if not l_heavy and not r_heavy:
         return left.join(right, on)
     rows = [(*key, -(-l_heavy.get(key, 1) // l_most), -(-r_heavy.get(key, 1) // r_most)) for key in {**l_heavy, **r_heavy}]

@@ -95,7 +95,7 @@ SQL = {
       cast(g_start + (l_linenumber - 1) * 25 + 19 + cast(l_quantity as bigint) % 7 as bigint) e_end from lineitem join gene g on g.gene_id = concat('G', lpad(cast(l_partkey as varchar), 8, '0'))""",
     "seqs": """select p_partkey seq_id, translate(md5(concat('p', cast(p_partkey as varchar))) || md5(concat('x', cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence from part""",
     "reads": """select p_partkey read_id, translate(md5(concat('r', cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence from part""",
-    "both_reads": """select m mate, p_partkey read_id, translate(md5(concat(case when m = 1 or p_partkey % 3 = 0 then 'r' else 'm' end, cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence
+    "both_reads": """select cast(m as integer) mate, p_partkey read_id, translate(md5(concat(case when m = 1 or p_partkey % 3 = 0 then 'r' else 'm' end, cast(p_partkey as varchar))), '0123456789abcdef', 'ACGTACGTACGTACGT') as sequence
       from part, range(1, 3) t(m)""",
 }
 

@@ -87,7 +87,7 @@ def test_split_join_is_a_join(spark):
     a, b = spark.createDataFrame(left, "x int, y string, i int"), spark.createDataFrame(right, "x int, y string, j int")
     want = Counter((x, y, i, j) for x, y, i in left for u, v, j in right if (x, y) == (u, v) and x is not None)
     for share in (1, 8, 50, 2048):
-        found = split_join(a, b, ["x", "y"], share)
+        found = split_join(a, b, ["x", "y"], share, 1)
         assert found.columns == ["x", "y", "i", "j"] and Counter(map(tuple, found.collect())) == want
     assert split_join(a.limit(0), b, ["x", "y"]).count() == 0
 
