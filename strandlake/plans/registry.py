@@ -46,7 +46,7 @@ def _id(name: str, region: str, ordinal: str) -> str:
     return f"""concat('{PREFIX}-', replace({name}, ' ', '_'), '-{region}-S', lpad(cast({ordinal} as varchar), cast(greatest(5, length(cast({ordinal} as varchar))) as integer), '0'))"""
 
 
-# -- features ------------------------------------------------------------------------------------------------------
+# features
 
 _FEATURES = """cast(length(s) - length(translate(s, 'GC', '')) as double) / length(s) "GC_content", cast(length(s) - length(translate(s, 'AT', '')) as double) / length(s) "AT_content",
   cast(length(s) - length(replace(s, 'T', '')) as bigint) "T_count", cast(length(s) - length(replace(s, 'T', '')) as double) / length(s) "T_content",
@@ -72,7 +72,7 @@ def complements(spark, d):
     return v.seqs(spark, d).select("seq_id", fs.complement(s).alias("complement"), fs.reverse_complement(s).alias("reverse_complement"), fs.valid_alphabet(s).alias("valid"), F.length(s).cast("long").alias("n"))
 
 
-# -- genes, loci and sites ------------------------------------------------------------------------------------------
+# genes, loci and sites
 
 _PRE = {"pre": f"""select g.gene_id, g.gene_name, g.chr, g.strand, g_start + o w_start, g_start + o + {{k}} - 1 w_end, o, {_turned('substring(c.sequence, cast(g_start + o as integer), {k})')} as sequence
   from (select *, unnest(range(0, g_end - g_start + 1 - {{k}} + 1)) o
@@ -241,7 +241,7 @@ def create_transcript_target(spark, d):
     return sites.create_target(named, v.exon(spark, d), v.tiles(spark, d), 16, "transcriptomic", gene_names=names, transcripts=spliced)
 
 
-# -- k-mers ----------------------------------------------------------------------------------------------------------
+# k-mers
 
 
 def _windows(name: str, source: str, k: int, ident: str = "", turned: bool = False) -> dict[str, str]:
@@ -413,7 +413,7 @@ def transform_outputs(spark, d):
     return kmers.compact(a).select(F.lit("compact").alias("output"), "kmer", F.lit(None).cast("long").alias("cnt")).unionByName(kmers.reduce_counts(a, 50).select(F.lit("reduced").alias("output"), "kmer", "cnt"))
 
 
-# -- reads -----------------------------------------------------------------------------------------------------------
+# reads
 
 _HITS = _windows("wt", "seqs", 6, turned=True) | _counts("ct", "wt") | {"valid": "select kmer from ct where cnt >= 62"} | _windows("wr", "reads", 6, "read_id", turned=True) | {"hits": "select read_id, pos, kmer in (select kmer from valid) hit from wr"}
 
@@ -505,7 +505,7 @@ def filter_pairs(spark, d):
     return first.unionByName(second)
 
 
-# -- files -----------------------------------------------------------------------------------------------------------
+# files
 
 
 @query(sql("select chr as name, 'derived' description, cast(length(sequence) as bigint) length from chrom", "chrom"))
@@ -639,7 +639,7 @@ def analysis_round_trip(spark, d):
     return spark.read.parquet(path).withColumns({"k": F.col("k").cast("int"), "assembly": F.col("assembly").cast("string")})
 
 
-# -- analyses --------------------------------------------------------------------------------------------------------
+# analyses
 
 
 @query(sql(f"""select s.gene_id, s.site_id, cast(length(sequence) - length(translate(sequence, 'GC', '')) as double) / length(sequence) gc, cast(start - g_start as bigint) offset_in_gene, coalesce(c.cnt, 0) genome_count
@@ -661,7 +661,7 @@ def python_analysis(spark, d):
     return analysis.analyze_sites_python(_pre(spark, d), measure, "gene_id string, site_id string, n long")
 
 
-# -- genome-wide joins -----------------------------------------------------------------------------------------------
+# genome-wide joins
 
 
 @query(sql(f"""select s.*, loci, array_to_string(starts, ',') starts
