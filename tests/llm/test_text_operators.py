@@ -30,7 +30,7 @@ def odd_texts():
     return [(i * 3, t) for i, t in enumerate(texts)] + [(6, "same id, other text"), (None, "no id"), (None, None)]
 
 
-# -- base spans ------------------------------------------------------------------------------------------------------
+# base spans
 
 
 def luhn(s):
@@ -130,7 +130,7 @@ def test_randomness_tells_random_from_words(spark):
     assert all(0 < x < 1 for x in limits)
 
 
-# -- deduplication ---------------------------------------------------------------------------------------------------
+# deduplication
 
 
 def plain_fingerprint(t, width=4):
@@ -231,7 +231,7 @@ def test_empty_tables(spark):
         assert df.count() == 0
 
 
-# -- quality ---------------------------------------------------------------------------------------------------------
+# quality
 
 
 def test_ranking_learns_preferences(spark):
@@ -321,7 +321,7 @@ def test_likelihood_ratios_match_plain_counts(spark):
     assert max(marks[i] for i in range(0, 30, 3)) < min(marks[i] for i in range(30) if i % 3)
 
 
-# -- decontamination, pages, chats, pieces -----------------------------------------------------------------------------
+# decontamination, pages, chats, pieces
 
 
 def test_decontamination(spark):
