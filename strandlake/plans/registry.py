@@ -689,7 +689,7 @@ _OFF = _windows("gw", "chrom", 10, "chr") | {"q": f"select *, '+' hit_strand, se
 @query(sql('select q.gene_id, q.site_id, gw.chr, gw.pos::bigint pos, q.hit_strand from q join gw on gw.kmer = q.query join gene g on g.gene_id = q.gene_id where not (gw.chr = g.chr and gw.pos >= g.g_start and gw.pos + 9 <= g.g_end)', "chrom", "gene", **_k(_PRE, 10), ps=_PRE_SITES, **_OFF))
 def exact_off_targets(spark, d):
     windows = genome.genome_codes(v.tiles(spark, d), 10, TILE)
-    return offtargets.exact_off_targets(_pre(spark, d, 10), windows, v.gene(spark, d))
+    return offtargets.exact_off_targets(_pre(spark, d, 10), windows, v.gene(spark, d), 10)
 
 
 @query(ORACLE_SQL["exact_off_targets"])

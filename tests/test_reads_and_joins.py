@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.operators import genome, kmers, offtargets, reads, sites
+from strandlake.operators import genome, offtargets, reads, sites
 from strandlake.operators.joins import split_join
 
 GENES = "gene_id string, gene_name string, chr string, g_start long, g_end long, strand string"
@@ -132,7 +132,7 @@ def test_off_targets_with_repeats_and_unknown_bases(spark):
                             out[g, s, c, p + 1, strand, far(q, w)] += 1
         return out
 
-    exact = offtargets.exact_off_targets(own, genome.genome_codes(tiles, k, 64), frame)
+    exact = offtargets.exact_off_targets(own, genome.genome_codes(tiles, k, 64), frame, k)
     assert Counter((r.gene_id, r.site_id, r.chr, r.pos, r.hit_strand, 0) for r in exact.collect()) == hits(0, True)
     spans = spark.createDataFrame([(c, len(s)) for c, s in chroms.items()], "chr string, length long")
     by_strings = offtargets.near_off_targets(own, offtargets.genome_windows(spans, tiles, k, 64), frame, k, d)
@@ -160,3 +160,14 @@ def test_targets_by_a_frame_of_names(spark):
     for bad in ({"gene_names": names("a", "b")}, {"gene_names": names("zz")}, {"gene_ids": names("G1", "G9")}):
         with pytest.raises(ValueError):
             sites.create_target(genes, None, tiles, 8, "pre-mrna", size=32, **bad)
+
+
+def test_codes_of_another_length_match_nothing(spark):
+    tiles = genome.tile_genome(spark.createDataFrame([("1", "AAAAACCGT" * 5)], "chr string, sequence string"), 32)
+    own = spark.createDataFrame([("G", "s", "ACC"), ("G", "t", "AACC")], "gene_id string, site_id string, sequence string")
+    genes = spark.createDataFrame([("G", "g", "9", 1, 5, "+")], GENES)
+    windows = genome.genome_codes(tiles, 4, 32)
+    assert {r.site_id for r in offtargets.exact_off_targets(own, windows, genes, 4).collect()} == {"t"}
+    assert {r.site_id for r in offtargets.exact_off_targets_in(own, tiles, genes, 4, 32).collect()} == {"t"}
+    with pytest.raises(ValueError):
+        offtargets.exact_off_targets(own, windows, genes)
