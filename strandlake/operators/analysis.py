@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import merged
+
 KEYS = ["gene_id", "site_id"]
 
 
@@ -25,15 +27,15 @@ def analyze_sites_python(sites: DataFrame, function: Callable[[Iterator[pd.DataF
 def analyze_targets(sites: DataFrame, genes: DataFrame, features: dict[str, Callable[[], Column]]) -> DataFrame:
     """Target scope: functions see a site's columns beside those of its gene (g_*)."""
     target = genes.select("gene_id", "gene_name", F.col("strand").alias("g_strand"), "g_start", "g_end")
-    return sites.join(target, "gene_id").select(*KEYS, *(f().alias(name) for name, f in features.items()))
+    return merged(sites, target, "gene_id").select(*KEYS, *(f().alias(name) for name, f in features.items()))
 
 
 def analyze_genome(sites: DataFrame, kmers: DataFrame) -> DataFrame:
     """Genome scope: how often the genome has each site's sequence, from a k-mer table."""
     counted = kmers.select(F.col("kmer").alias("sequence"), F.col("cnt").alias("genome_count"))
-    return sites.select(*KEYS, "sequence").join(counted, "sequence", "left").select(*KEYS, F.coalesce("genome_count", F.lit(0)).cast("long").alias("genome_count"))
+    return merged(sites.select(*KEYS, "sequence"), counted, "sequence", "left").select(*KEYS, F.coalesce("genome_count", F.lit(0)).cast("long").alias("genome_count"))
 
 
 def gather(results: list[DataFrame]) -> DataFrame:
     """All analyses of the sites in one table; a site that an analysis lacks has nulls there."""
-    return reduce(lambda a, b: a.join(b, KEYS, "full"), results)
+    return reduce(lambda a, b: merged(a, b, KEYS, "full"), results)
