@@ -20,7 +20,7 @@ def target_rows(sites: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def write_target_json(sites: DataFrame, genes: DataFrame, path: str, reuse: bool = False) -> None:
-    """Gzip files, a tenth of the plain text; readers tell them by their names."""
+    """Gzip files; readers tell them by their names."""
     target_rows(sites, genes).write.mode(_mode(reuse)).json(path, compression="gzip")
 
 
