@@ -70,3 +70,8 @@ def test_hits_are_not_shuffled(spark, name):
     plan = registry.QUERIES[name](spark, D)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("Repartition")]
     assert "MapInArrow" in above and "Join" not in above and "Aggregate" not in above
+
+
+def test_summary_takes_every_site(spark):
+    numbers = registry.off_target_summary(spark, D).selectExpr("cast(regexp_extract(site_id, '([0-9]+)$', 1) as int) % 100 n").distinct()
+    assert numbers.count() == 100
