@@ -64,7 +64,7 @@ def test_differences(spark):
         assert len(set(x.tolist())) == len(x) == near.n_differences(k, d) and far.max() == d
 
 
-@pytest.mark.parametrize("name", ["off_target_summary", "all_off_target_summary"])
+@pytest.mark.parametrize("name", ["near_off_targets", "all_near_off_targets", "off_target_summary", "all_off_target_summary"])
 def test_hits_are_not_shuffled(spark, name):
     """Above the search no row moves."""
     plan = registry.QUERIES[name](spark, D)._jdf.queryExecution().optimizedPlan().toString()
