@@ -41,6 +41,19 @@ def test_removed_sites_are_looked_for_once(spark):
         sites.remove_sites(own, gone.withColumn("site_id", F.concat("site_id", F.lit("x")))).collect()
 
 
+def test_removed_sites_are_dealt_with_their_neighbours(spark):
+    own = registry.pre_mrna_sites(spark, D)
+    last = [x for x in plan(registry.remove_sites(spark, D)).splitlines() if "Exchange hashpartitioning" in x and "gene_id" in x]
+    assert len(last) == 1 and "site_id" not in last[0].split("hashpartitioning(")[1].split(")")[0]
+    rows = spark.createDataFrame([("G", i) for i in ("", "a", "ab", "abc", "abd", "xbc", None)] + [(None, "abc"), ("H", "abc")], "gene_id string, site_id string")
+    gone = rows.where("gene_id = 'G' and site_id in ('', 'ab', 'abc')")
+    assert sorted(map(str, sites.remove_sites(rows, gone).collect())) == sorted(map(str, rows.subtract(gone).collect()))
+    for bad in (rows.where("gene_id is null"), rows.where("site_id is null"), rows.where("gene_id = 'H'").selectExpr("'G' gene_id", "'abcd' site_id")):
+        with pytest.raises(Exception, match="no site with this id"):
+            sites.remove_sites(rows, bad).collect()
+    assert own.columns == sites.remove_sites(own, own.select("gene_id", "site_id")).columns
+
+
 def test_target_json_is_compressed(spark, tmp_path):
     genes = derived.gene(spark, D).where("gene_id = 'G00000003'")
     own = registry.pre_mrna_sites(spark, D).where("gene_id = 'G00000003'")
