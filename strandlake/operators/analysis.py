@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import merged
+from .joins import beside, merged
 
 KEYS = ["gene_id", "site_id"]
 
@@ -38,4 +38,9 @@ def analyze_genome(sites: DataFrame, kmers: DataFrame) -> DataFrame:
 
 def gather(results: list[DataFrame]) -> DataFrame:
     """All analyses of the sites in one table; a site that an analysis lacks has nulls there."""
-    return reduce(lambda a, b: merged(a, b, KEYS, "full"), results)
+
+    def both(a: DataFrame, b: DataFrame) -> DataFrame:
+        keys = (F.coalesce(x, y).alias(x) for x, y in zip(KEYS, ("other_gene", "other_site"), strict=True))
+        return beside(a, b, "full").select(*keys, *(c for df in (a, b) for c in df.columns if c not in KEYS))
+
+    return reduce(both, results)

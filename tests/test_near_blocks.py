@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from strandlake.operators import genome, near, offtargets, sites
+from strandlake.operators import analysis, genome, near, offtargets, sites
 from strandlake.plans import derived, registry
 
 D = "/root/testdata/sf0.001"
@@ -58,6 +58,26 @@ def test_odd_genes_and_sites(spark):
     assert rows(offtargets.near_off_targets_in(bare, tiles, genes, 8, 1, 32)) == rows(offtargets.near_off_targets(own, windows, genes, 8, 1))
 
 
+def test_counts_of_sites_in_blocks(spark):
+    for k, most, letters in ((6, 64, "ACGTN"), (20, 200, "ACGT")):
+        own, tiles, _ = made(spark, k, letters)
+        odd = own.limit(3).selectExpr("gene_id", "concat(site_id, 'x') site_id", "chr", "start", "end", "strand", "substring(sequence, 2) sequence")
+        own = own.unionAll(odd).unionAll(odd.selectExpr("gene_id", "concat(site_id, 'y') site_id", "chr", "start", "end", "strand", "cast(null as string) sequence"))
+        want = rows(analysis.analyze_genome(own, offtargets.genome_counts(own, tiles, k, 32)))
+        assert rows(near.occurrences(own, tiles, k, 32, 3, most)) == rows(offtargets.site_counts_in(own, tiles, k, 32)) == want
+        assert len({x[1] for x in want}) > 2
+
+
+def test_gathered_sites_stay_with_their_neighbours(spark):
+    """No row is dealt by the whole of its id, or by its sequence."""
+    plan = registry.gathered_analyses(spark, D)._jdf.queryExecution().executedPlan().toString()
+    keys = [x.split("hashpartitioning(")[1] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert keys and not any("site_id" in x or "sequence" in x or "code" in x for x in keys)
+    one = spark.createDataFrame([("G", "abc", 1), ("G", "abd", 2), ("G", None, 3), ("G", "a", 4)], "gene_id string, site_id string, a int")
+    two = spark.createDataFrame([("G", "abd", 5), ("G", "abd", 6), ("G", None, 7), ("H", "abc", 8)], "gene_id string, site_id string, b int")
+    assert rows(analysis.gather([one, two])) == rows(one.join(two, ["gene_id", "site_id"], "full"))
+
+
 def test_differences(spark):
     for k, d in ((4, 2), (14, 2), (9, 0), (5, 4)):
         x, far = near.differences(k, d)
